@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A key is heavy if it holds at least one HEAVY-th of all rows, so there are at most HEAVY heavy keys at any size of
@@ -12,30 +12,38 @@ from pyspark.sql import functions as F
 HEAVY = 1000
 
 
-def heavy_keys(df: DataFrame, key: str, heavy: int = HEAVY) -> list:
-    """The non-null values of key that each hold at least 1/heavy of the rows: at most `heavy` values, by arithmetic."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+def _hash(on: Sequence[str]) -> Column:
+    return F.col(on[0]) if len(on) == 1 else F.xxhash64(*on)
+
+
+def heavy_keys(df: DataFrame, on: Sequence[str], heavy: int = HEAVY) -> list:
+    """The non-null values of the key (a hash of it, if it has several columns) that each hold at least 1/heavy of the rows.
+
+    At most `heavy` values, by arithmetic; none for fewer than 10 * heavy rows, where no key can matter.
+    """
     total = df.count()
-    if total < heavy * 10:  # too few rows for any key to matter
+    if total < heavy * 10:
         return []
-    return [r[0] for r in counts.where(F.col(key).isNotNull() & (F.col("__n") * heavy >= total)).select(key).collect()]
+    counts = df.dropna(subset=list(on)).groupBy(_hash(on).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+    return [r[0] for r in counts.where(F.col("__n") * heavy >= total).select("__k").collect()]
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", heavy: int = HEAVY) -> DataFrame:
-    """Join left, in which few keys may hold most rows, to right, in which key is unique.
+def lookup_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left", heavy: int = HEAVY) -> DataFrame:
+    """Join left, in which few keys may hold most rows, to right, in which the key is unique.
 
     Rows of heavy keys meet their at most `heavy` lookup rows by broadcast and are never shuffled; the others are
-    shuffled by key, where no key holds more than 1/heavy of the rows. how is `left` or `inner`. left is read three
+    shuffled by key, where no key holds more than 1/heavy of the rows. how is `left` or `inner`. left is read several
     times (count, heavy, light), so pass a stored or checkpointed table. A null key matches nothing.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how is left or inner, not {how}")
-    keys = heavy_keys(left, key, heavy)
+    on = [on] if isinstance(on, str) else list(on)
+    keys = heavy_keys(left, on, heavy)
     if not keys:
-        return left.join(right, key, how)
-    is_heavy = F.coalesce(F.col(key).isin(keys), F.lit(False))
-    hot = left.where(is_heavy).join(F.broadcast(right.where(F.col(key).isin(keys))), key, how)
-    return hot.unionByName(left.where(~is_heavy).join(right, key, how))
+        return left.join(right, on, how)
+    is_heavy = F.coalesce(_hash(on).isin(keys), F.lit(False))
+    hot = left.where(is_heavy).join(F.broadcast(right.where(is_heavy)), on, how)
+    return hot.unionByName(left.where(~is_heavy).join(right, on, how))
 
 
 def eager_join_aggregate(
