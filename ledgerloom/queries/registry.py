@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerloom.queries import general
+from ledgerloom.queries import general, relational
 from ledgerloom.queries.common import Query
 
-MODULES = [general]
-FLAGSHIP = "p6_totals"
+MODULES = [general, relational]
+FLAGSHIP = "star_denorm"
 
 
 def queries() -> dict[str, Query]:
