@@ -9,6 +9,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType
 
 
 @lru_cache(maxsize=200_000)
@@ -58,7 +59,7 @@ def person_similarity(a: str, b: str) -> float:
 
 
 def _pairwise(f):
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for a, b in batches:
             yield pd.Series([None if x is None or y is None else f(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
@@ -76,7 +77,7 @@ def inventor_similarity(a: Column, b: Column) -> Column:
     return _pairwise(person_similarity)(a, b)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def any_unlike(s: pd.Series) -> pd.Series:
     """Whether two names of a list between bars have no similarity at all."""
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerloom.queries import general, relational
+from ledgerloom.queries import general, relational, scalars
 from ledgerloom.queries.common import Query
 
-MODULES = [general, relational]
+MODULES = [general, relational, scalars]
 FLAGSHIP = "star_denorm"
 
 
