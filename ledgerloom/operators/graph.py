@@ -18,3 +18,27 @@ def cooccurrence(df: DataFrame, vertex: str, event: str, year: str) -> tuple[Dat
     pairs = a.join(b, (F.col("a.ed") == F.col("b.ed")) & (F.col("a.vx") < F.col("b.vx")))
     edges = pairs.groupBy(F.col("a.vx").alias("v1"), F.col("b.vx").alias("v2")).agg(F.count(F.lit(1)).alias("weight"), F.min("a.y").alias("first_year"))
     return vertices, edges
+
+
+def min_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """(id, label) of the ends of edges (a, b): label is the smallest id linked directly or through others.
+
+    Each round every vertex takes the smallest label among its neighbours' and, by a jump, its label's label; labels are
+    cut from their lineage each round, which ends when none changes.
+    """
+    from ledgerloom.session import cut, release
+
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a IS NOT NULL AND b IS NOT NULL")
+    both = cut(both.distinct())
+    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
+    for _ in range(max_rounds):
+        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        own = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("next"))
+        jump = labels.select(F.col("id").alias("next"), F.col("label").alias("far"))
+        new = cut(own.join(jump, "next", "left").select("id", F.coalesce("far", "next").alias("new"), (F.coalesce("far", "next") != F.col("label")).alias("moved")))
+        release(labels)
+        labels = new.select("id", F.col("new").alias("label"))
+        labels._cut_at = new._cut_at
+        if new.where("moved").isEmpty():
+            return labels
+    raise RuntimeError(f"labels still change after {max_rounds} rounds")
