@@ -183,9 +183,9 @@ def hex_between(a: str, b: str, percent: Column) -> Column:
 
 
 def footnotes(c: Column, splitter: str = "/") -> Column:
-    """struct(text, notes) of `text n/ m/`: markers after the text that end in the splitter."""
+    """struct(text, notes) of `text n/ m/`: markers after the text that end in the splitter, and may begin with it."""
     sign = "\\" + splitter
-    mark = rf"\s*([0-9]+(?:, ?[0-9]+)*){sign}"
+    mark = rf"\s*{sign}?([0-9]+(?:, ?[0-9]+)*){sign}"
     text = F.trim(F.regexp_replace(c, rf"(?:{mark})+\s*$", ""))
     notes = F.when(c.rlike(rf"{mark}\s*$"), F.regexp_extract_all(F.substr(c, F.length(F.rtrim(text)) + 1), F.lit(r"[0-9]+"), F.lit(0))).otherwise(F.array().cast("array<string>"))
     return F.struct(text.alias("text"), notes.alias("notes"))

@@ -53,14 +53,14 @@ def orphan_rows(refs: DataFrame, parents: DataFrame, heavy: int = HEAVY) -> Data
         words.where(F.col("src").isNotNull())
         .withColumn("bits", F.expr("ref_bits & ~coalesce(so_far, 0L)"))
         .where("bits <> 0")
-        .select("src", "at", F.explode(F.expr("transform(filter(sequence(0, 63), i -> shiftright(bits, i) & 1L = 1L), i -> shiftleft(word, 6) + i)")).alias("code"))
+        .select("src", "scope", "at", F.explode(F.expr("transform(filter(sequence(0, 63), i -> shiftright(bits, i) & 1L = 1L), i -> shiftleft(word, 6) + i)")).alias("code"))
     )
-    survivors = cut(per_key.join(survivors, ["src", "at", "code"]).select("src", "at", "code", "n"))
+    on = ["src", "scope", "at", "code"]
+    survivors = cut(per_key.join(survivors, on).select(*on, "n"))
 
     total = per_key.agg(F.sum("n")).first()[0] or 0
-    hot = per_key.where(F.col("n") * heavy >= max(total, heavy * 10)).select("src", "at", "code")  # at most `heavy` rows
-    on = ["src", "at", "code"]
-    rows = coded.select("src", "at", "code", "rid")
+    hot = per_key.where(F.col("n") * heavy >= max(total, heavy * 10)).select(*on)  # at most `heavy` rows
+    rows = coded.select(*on, "rid")
     heavy_rows = rows.join(F.broadcast(survivors.where(F.col("n") * heavy >= max(total, heavy * 10)).select(*on)), on)
     light_rows = rows.join(F.broadcast(hot), on, "left_anti").join(survivors.where(F.col("n") * heavy < max(total, heavy * 10)).select(*on), on)
 

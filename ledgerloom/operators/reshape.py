@@ -59,7 +59,12 @@ def attach_children(parent: DataFrame, key: str, children: dict[str, tuple[DataF
     out = parent
     for name, (child, order) in children.items():
         rest = [c for c in child.columns if c not in (key, order)]
-        grouped = child.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, *rest))).alias(name))
+        rows = F.collect_list(F.struct(order, *rest))
+        if any("map<" in t for c, t in child.dtypes if c in rest):  # maps have no order, so that of the column alone counts
+            ordered = F.array_sort(rows, lambda x, y: F.when(x[order] < y[order], -1).when(x[order] > y[order], 1).otherwise(0))
+        else:
+            ordered = F.array_sort(rows)
+        grouped = child.groupBy(key).agg(ordered.alias(name))
         out = out.join(grouped, key, "left").withColumn(name, F.coalesce(F.col(name), F.array().cast(grouped.schema[name].dataType)))
     return out
 
