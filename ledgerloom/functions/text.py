@@ -65,7 +65,14 @@ def clean_place(c: Column, ascii_only: bool = True) -> Column:
     return F.trim(to_ascii(c) if ascii_only else c)
 
 
-# What is taken out of or unified in city names, by country. Patterns over the result of clean_place.
+# Short words in US place names, as whole words.
+US_WORDS = {
+    "COLO": "COLORADO", "SPGS": "SPRINGS", "JCT": "JUNCTION", "JCTN": "JUNCTION", "MTN": "MOUNTAIN", "MT": "MOUNT", "HTS": "HEIGHTS", "HGTS": "HEIGHTS",
+    "COUNTY": "", "GDNS": "GARDENS", "SLC": "SALT LAKE CITY", "LV": "LAS VEGAS", "SF": "SAN FRANCISCO", "TOWNSEND": "", "TOWNS": "", "TOWNSH": "", "TOWNSHI": "",
+    "TOWNSHIP": "", "FT": "FORT", "N": "NORTH", "NO": "NORTH", "E": "EAST", "S": "SOUTH", "SO": "SOUTH", "W": "WEST", "U": "UPPER", "IS": "ISLAND", "PK": "PARK",
+    "OKLA": "OKLAHOMA", "PO BOX": "",
+}
+# What is taken out of or unified in city names, by country, in order. Patterns over the result of clean_place.
 CITY_RULES: dict[str, list[tuple[str, str]]] = {
     "AR": [(r"(CIUDAD|PROVINCIA)( DE)?", "")],
     "AT": [(r"(, ?|/)OSTERREICH", ""), (r"/| ?AN DER ?", ",")],
@@ -73,19 +80,44 @@ CITY_RULES: dict[str, list[tuple[str, str]]] = {
     "BE": [(r"/| ?SUR ?", ",")],
     "BR": [(r"\bCITY[ ,]", "")],
     "CN": [(r"\bCITY[ ,]", "")],
-    "JP": [(r"\bCITY[ ,]", "")],
+    "DE": [(r"/| ?AN DER ?", ",")],
+    "DK": [(r"^.*AARHUS.*$", "AARHUS"), (r"^.*\bCOPPENHAGEN\b.*$", "COPPENHAGEN")],
+    "EI": [(r"\bCOUNTY\b", "")],
+    "FR": [(r"/| ?SUR ?", ","), (r"\b(CEDEX|ALL)\b", "")],
+    "GB": [(r"COUNTY( OF)?", ""), (r"SHIR+E", "SHIRE")],
+    "HK": [(r",?\b(HK|HONG KONG)\b", "")],
+    "JP": [(r"\bCITY[ ,]", ""), (r"ALL( OR)?|-?PREF(ECTURE)?", "")],
+    "KR": [(r"-?(MEGA)?CITY", ""), (r"BUKE?|BOOK|BOK", "BUG"), (r"[-,]? *(DO[ME]?|DU|DI)\b", "DO"), (r"\bCHEJU\b", "JEJU")],
+    "LU": [(r"/| ?AN DER ?", ",")],
+    "NL": [(r"AM(ER)?STERDA[MN]{0,2}", "AMSTERDAM")],
     "RU": [(r"\bCITY[ ,]", "")],
-}
+    "TW": [(r",?\b(TW|TAIWAN)\b", ""), (r"\b(AREA|INDUSTRIAL|TOWN|CITY|COUNTY|DIST(RICT)?|COUNTRY)\b", ""), (r"\bSHIEN\b", "HSIEN")],
+    "US": [(r"^ST\b", "SAINT"), (r"^LA$", "LOS ANGELES"), *((rf"\b{a}\b", b) for a, b in US_WORDS.items())],
+}
+#: German spellings of umlauts become the plain vowel, but in names that hold one of these words.
+KEEP_E = r"\b(ITZEHOE|AUE|EUE)\b"
 
 
-def clean_city(city: Column, country: Column, ascii_only: bool = True) -> Column:
-    """clean_place, then the rules of the row's country; ST means SAINT outside the US. Edge signs and runs of blanks go."""
-    c = clean_place(city, ascii_only)
-    c = F.when(F.upper(country) != "US", F.regexp_replace(c, r"\bST\b", "SAINT")).otherwise(c)
+def clean_city(city: Column, country: Column, ascii_only: bool = True, provinces: dict[str, dict[str, str]] | None = None) -> Column:
+    """clean_place, then the rules of the row's country; ST means SAINT outside the US. Edge signs and runs of blanks go.
+
+    provinces (country -> pattern -> name) puts the first that a city holds between commas.
+    """
+    c, ctry = clean_place(city, ascii_only), F.upper(F.trim(country))
+    c = F.when(ctry == "US", c).otherwise(F.regexp_replace(c, r"\bST\b", "SAINT"))
     out = c
     for code, rules in CITY_RULES.items():
-        out = F.when(F.upper(country) == code, replace_each(c, *rules)).otherwise(out)
-    return F.trim(replace_each(out, (r"^[,|-]+|[,|-]+$", ""), (r"[- ]+", " ")))
+        by_rule = replace_each(c, *rules)
+        if code == "DE":
+            by_rule = F.when(c.rlike(KEEP_E), by_rule).otherwise(F.regexp_replace(by_rule, "([AOU])E", "$1"))
+        out = F.when(ctry == code, by_rule).otherwise(out)
+    for code, names in (provinces or {}).items():
+        marked = out
+        for pattern, name in reversed(names.items()):
+            whole = rf"(?:^|[, ]+)(?:{pattern})(?=$|[, ])"
+            marked = F.when(out.rlike(whole), F.regexp_replace(out, whole, f",{name},")).otherwise(marked)
+        out = F.when(ctry == code, marked).otherwise(out)
+    return F.trim(replace_each(out, (r"^[,|-]+|[,|-]+$", ""), (r"[- ]+", " "), (r",+", ",")))
 
 
 def clean_country(country: Column, city: Column) -> Column:

@@ -13,7 +13,7 @@ from ledgerloom.functions.text import backwards_block, letters_block, part_of, r
 from ledgerloom.operators.aggregate import token_frequency
 from ledgerloom.operators.graph import min_labels
 from ledgerloom.operators.joins import one_per_key
-from ledgerloom.session import cut, release
+from ledgerloom.session import cut
 
 
 @dataclass(frozen=True)
@@ -47,14 +47,15 @@ def cascade(places: DataFrame, ref: DataFrame, ident: str, stages: Sequence[Stag
     """(ident, ref_id, stage, score, candidates): the best reference row of the first stage that finds one.
 
     places has ident, city and the columns of `within`; ref has ref_id, r_city and the same columns. Every stage is an
-    equi-join on its key and on `within`; matched places leave the work set, which is written out after each stage, so
-    later (dearer) stages see only what is left. Ties go to the smallest name, then the smallest ref_id.
+    equi-join on its key and on `within`; what it finds is written out and leaves the work set, so later (dearer) stages
+    see only what is left. Ties go to the smallest name, then the smallest ref_id.
     """
     found = None
-    left = cut(places.select(ident, "city", *within))
+    base = cut(places.select(ident, "city", *within))
     for s in stages:
+        left = base if found is None else base.join(found.select(ident), ident, "left_anti")
         # the seq-th part of a name that has none is '', which is no key
-        l = left.withColumn("__key", s.left).where("__key <> ''").withColumn("__part", F.col("city"))
+        l = left.withColumn("__key", s.left).where("__key <> ''")
         pairs = l.join(ref.withColumn("__key", s.right), ["__key", *within])
         if s.least is None:
             pairs = pairs.withColumn("score", F.lit(s.base))
@@ -63,9 +64,6 @@ def cascade(places: DataFrame, ref: DataFrame, ident: str, stages: Sequence[Stag
         n = pairs.groupBy(ident).agg(F.count(F.lit(1)).alias("candidates"))
         best = one_per_key(pairs, [ident], [F.desc("score"), F.asc("r_city"), F.asc("ref_id")]).join(n, ident)
         hit = cut(best.select(ident, "ref_id", F.lit(s.name).alias("stage"), "score", "candidates"))
-        rest = cut(left.join(hit.select(ident), ident, "left_anti"))
-        release(left)
-        left = rest
         found = hit if found is None else found.unionByName(hit)
     return found
 
