@@ -66,9 +66,9 @@ def token_frequency(df: DataFrame, name: str, weight: str | None = None) -> Data
 
 
 def outliers(df: DataFrame, value: str, deviations: float = 3.0) -> DataFrame:
-    """Rows whose value exceeds the mean by so many standard deviations of the population; one pass for the limit."""
-    limit = df.agg((F.avg(value) + deviations * F.stddev_pop(value)).alias("__limit"))
-    return df.join(F.broadcast(limit), F.col(value) > F.col("__limit")).drop("__limit")
+    """Rows whose value exceeds the mean by so many standard deviations of the population. The limit, one number, is found first."""
+    limit = df.agg(F.avg(value) + deviations * F.stddev_pop(value)).first()[0]
+    return df.where(F.col(value) > F.lit(limit))
 
 
 def greatest_or_null(*columns: Column) -> Column:

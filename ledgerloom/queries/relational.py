@@ -10,6 +10,7 @@ from ledgerloom.operators import joins as J
 from ledgerloom.operators import ordered as W
 from ledgerloom.operators import reshape as R
 from ledgerloom.operators import tables as T
+from ledgerloom.operators.metadata import Dataset, merge_metadata
 from ledgerloom.queries.common import table as t
 
 QUERIES, SQL = {}, {}
@@ -398,3 +399,21 @@ def stacked_tables(spark: SparkSession, d: str) -> DataFrame:
 def infer_types(spark: SparkSession, d: str) -> DataFrame:
     back, places = t(spark, d, "backfile"), t(spark, d, "placeref")
     return T.infer_types(back.select(F.col("gyear").cast("string"))).union(T.infer_types(places.select(F.col("lat").cast("string"), "city")))
+
+
+# ---- metadata
+
+
+@query("SELECT patent, invseq, count(*) AS n_rows FROM inventor GROUP BY 1, 2 HAVING count(*) > 1")
+def unique_violations(spark: SparkSession, d: str) -> DataFrame:
+    return Dataset(["patent", "invseq"]).violations(t(spark, d, "inventor"))
+
+
+@query("SELECT country, state, CAST(2 - grouping(country) - grouping(state) AS INTEGER) AS depth, count(*) AS n_rows FROM placeref GROUP BY ROLLUP (country, state)")
+def slice_counts(spark: SparkSession, d: str) -> DataFrame:
+    return Dataset(["place_id"], [["country", "state"]]).counts(t(spark, d, "placeref"))
+
+
+@query("SELECT source, string_agg(DISTINCT lang, ', ' ORDER BY lang) AS lang FROM documents WHERE lang IS NOT NULL GROUP BY 1")
+def merged_metadata(spark: SparkSession, d: str) -> DataFrame:
+    return merge_metadata(t(spark, d, "documents").where("lang IS NOT NULL"), ["source"], "lang", "lang")

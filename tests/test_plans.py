@@ -6,6 +6,7 @@ from ledgerloom.operators import entity as E
 from ledgerloom.operators import ordered as W
 from ledgerloom.operators import tables as T
 from ledgerloom.operators.graph import cooccurrence, min_labels
+from ledgerloom.operators.metadata import Dataset, described_by_words, with_comments
 from ledgerloom.operators.joins import join_disjoint, override, update_join
 from ledgerloom.plans import accounts, census, environment, patents, surveys
 from ledgerloom.sources import markup, texts
@@ -189,3 +190,14 @@ def test_csv_round_trip(spark, tmp_path):
     assert rows(spark.read.csv(f"{tmp_path}/c", header=True)) == [("e", "1")]
     T.write_with_metadata(df, f"{tmp_path}/m", {"units": "kg"})
     assert rows(spark.read.parquet(f"{tmp_path}/m/metadata")) == [("units", "kg")]
+
+
+def test_metadata(spark):
+    d = Dataset(["a"], [["x", "y"], ["x", "z"]], {"Info": ["a"]})
+    assert d.slice_sets() == [(), ("x",), ("x", "y"), ("x", "z")]
+    df = spark.createDataFrame([(1, "q"), (1, "r"), (2, "s")], "a int, b string")
+    assert rows(d.violations(df)) == [(1, 2)] and d.select(df, "Info").columns == ["a"]
+    series = spark.createDataFrame([(1, "Wages in steel mills"), (2, "Nothing")], "id int, title string")
+    texts_ = spark.createDataFrame([("Steel mills and their wages",), ("Paper mills",)], "text string")
+    assert rows(described_by_words(series, "id", "title", texts_, "text")) == [(1, "Steel mills and their wages", 3)]
+    assert with_comments(df, {"a": "key"}).schema["a"].metadata == {"comment": "key"}
