@@ -34,11 +34,12 @@ def orphan_rows(refs: DataFrame, parents: DataFrame, heavy: int = HEAVY) -> Data
     A reference with null `at` sees only parents that were always there; a parent with null `at` never exists. Repeated
     rows come out each. Empty inputs are fine: without parents all references are orphans. Returns src, rid, at.
     """
-    refs = refs.select("src", "scope", "rid", "key", "code", F.coalesce("at", F.lit(ALWAYS)).alias("at"))
+    # keys are read once; the string is needed only where there is no code
+    refs = cut(refs.select("src", "scope", "rid", F.when(F.col("code").isNull(), F.col("key")).alias("key"), "code", F.coalesce("at", F.lit(ALWAYS)).alias("at")))
     parents = parents.where(F.col("at").isNotNull() & F.col("key").isNotNull())
     coded = refs.where(F.col("code").isNotNull())
     out = ["src", "rid", "at"]
-    unread = refs.where(F.col("key").isNull()).select(*out)
+    unread = refs.where(F.col("key").isNull() & F.col("code").isNull()).select(*out)
 
     per_key = cut(coded.groupBy("src", "scope", "code", "at").agg(F.count(F.lit(1)).alias("n")))
     bit = F.expr("shiftleft(1L, cast(code & 63 as int))")
