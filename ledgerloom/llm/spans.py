@@ -16,8 +16,8 @@ from ledgerloom.session import cut
 GEAR = 64
 #: Code points handled at once in a worker.
 BLOCK = 1_000_000
-CHUNKS = pa.schema([("doc_id", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("cut", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
-GRAMS = pa.schema([("g1", pa.int64()), ("g2", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("off", pa.int32()), ("first", pa.int64()), ("last", pa.int64())])
+CHUNKS = pa.schema([("doc_id", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("cut", pa.int64()), ("d", pa.int64())])
+GRAMS = pa.schema([("cut", pa.int64()), ("g", pa.int64()), ("d", pa.int64()), ("off", pa.int32()), ("first", pa.int64()), ("last", pa.int64())])
 
 
 def gear(codes: np.ndarray) -> np.ndarray:
@@ -49,11 +49,11 @@ def lowest(h: np.ndarray, window: int) -> np.ndarray:
 
 
 def _digests(data: np.ndarray, spans: Iterator[tuple[int, int]]) -> np.ndarray:
-    """128-bit digests of codes data[a:b], two int64 each."""
-    from xxhash import xxh3_128_digest
+    """64-bit digests of codes data[a:b]; with the cut's own hash, by which they are always kept, that makes 128 bits."""
+    from xxhash import xxh3_64_intdigest
 
     view = memoryview(data).cast("B")
-    return np.frombuffer(b"".join([xxh3_128_digest(view[4 * a : 4 * b]) for a, b in spans]), dtype=np.int64).reshape(-1, 2)
+    return np.array([xxh3_64_intdigest(view[4 * a : 4 * b]) for a, b in spans], dtype=np.uint64).view(np.int64)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -61,7 +61,7 @@ def _codes(text: str) -> np.ndarray:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Chunks (doc_id, lo, hi, cut, d1, d2) of (doc_id, text) rows; see shared_spans."""
+    """Chunks (doc_id, lo, hi, cut, d) of (doc_id, text) rows; see shared_spans."""
     window = length - GEAR + 1
 
     def some(ids: list[int], texts: list[str]) -> pa.RecordBatch:
@@ -79,7 +79,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         lo, hi = starts[new], starts[np.r_[new[1:] - 1, len(starts) - 1]]
         base = (ends - sizes)[d[new]]
         dig = _digests(codes, zip(lo.tolist(), (hi + length).tolist(), strict=True))
-        cols = [np.asarray(ids)[d[new]], (lo - base).astype(np.int32), (hi - base).astype(np.int32), h[cut_at[new]].view(np.int64), dig[:, 0], dig[:, 1]]
+        cols = [np.asarray(ids)[d[new]], (lo - base).astype(np.int32), (hi - base).astype(np.int32), h[cut_at[new]].view(np.int64), dig]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, CHUNKS, strict=True)], schema=CHUNKS)
 
     ids, texts, held = [], [], 0
@@ -102,14 +102,14 @@ def _grams(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
     for batch in batches:
         for text, chunks in zip(batch["text"], batch["chunks"], strict=True):
             codes = _codes(text.as_py())
-            rows = [(c["lo"], c["hi"], c["d1"], c["d2"], c["first"], c["last"]) for c in chunks.as_py()]
+            rows = [(c["lo"], c["hi"], c["cut"], c["d"], c["first"], c["last"]) for c in chunks.as_py()]
             for k in range(0, len(rows), 2000):
                 part = rows[k : k + 2000]
                 n = np.array([hi - lo + 1 for lo, hi, *_ in part])
                 dig = _digests(codes, ((s, s + length) for lo, hi, *_ in part for s in range(lo, hi + 1)))
                 off = np.concatenate([np.arange(x) for x in n]).astype(np.int32)
                 rep = lambda j: np.repeat(np.array([r[j] for r in part], dtype=np.int64), n)  # noqa: B023, E731
-                cols = [dig[:, 0], dig[:, 1], rep(2), rep(3), off, rep(4), rep(5)]
+                cols = [rep(2), dig, rep(3), off, rep(4), rep(5)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, GRAMS, strict=True)], schema=GRAMS)
 
 
@@ -123,7 +123,8 @@ def shared_spans(docs: DataFrame, length: int = 160) -> DataFrame:
     Method: each span of `length` characters is cut at the smallest gear hash (of 64 characters) inside it, so equal
     spans are cut alike wherever they stand and whatever was inserted before. Neighbouring spans with the same cut make
     a chunk of variable size; a text has about one for each (length - 64) / 2 characters, and any shared span belongs
-    to chunks with the same cut hash. Chunks are deduplicated by a 128-bit digest: one found in two texts is shared as
+    to chunks with the same cut hash. Chunks are deduplicated by 128 bits (hash of
+    the cut, digest of the text): one found in two texts is shared as
     a whole. Where a cut is found in several texts but some chunk around it in one only (the ends of copied stretches),
     each distinct chunk is looked into once: the digests of its spans meet those of the other distinct chunks with that
     cut, and its first and last shared span bound what it shares (all its spans overlap). No pairs are formed: a chunk
@@ -133,23 +134,23 @@ def shared_spans(docs: DataFrame, length: int = 160) -> DataFrame:
     if length <= GEAR:
         raise ValueError(f"length is more than {GEAR}")
     texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.length("text") >= length))
-    schema = "doc_id long, lo int, hi int, cut long, d1 long, d2 long"
+    schema = "doc_id long, lo int, hi int, cut long, d long"
     chunks = cut(texts.mapInArrow(lambda b: _chunks(b, length), schema))
     distinct = cut(
-        chunks.groupBy("d1", "d2", "cut").agg(F.min(F.struct("doc_id", "lo", "hi")).alias("one"), F.max("doc_id").alias("last"))
-        .select("d1", "d2", "cut", F.col("one.doc_id").alias("first"), "last", F.col("one.lo").alias("lo"), F.col("one.hi").alias("hi"))
+        chunks.groupBy("cut", "d").agg(F.min(F.struct("doc_id", "lo", "hi")).alias("one"), F.max("doc_id").alias("last"))
+        .select("cut", "d", F.col("one.doc_id").alias("first"), "last", F.col("one.lo").alias("lo"), F.col("one.hi").alias("hi"))
     )
     cuts = distinct.groupBy("cut").agg(F.min("first").alias("a"), F.max("last").alias("b"), F.count(F.lit(1)).alias("n"), F.bool_or(F.col("first") == F.col("last")).alias("open"))
     look = lookup_join(distinct, cuts.where("a <> b AND n > 1 AND open").select("cut"), "cut", "inner")
-    beside = look.groupBy(F.col("first").alias("doc_id")).agg(F.collect_list(F.struct("lo", "hi", "d1", "d2", "first", "last")).alias("chunks"))
+    beside = look.groupBy(F.col("first").alias("doc_id")).agg(F.collect_list(F.struct("lo", "hi", "cut", "d", "first", "last")).alias("chunks"))
     grams = cut(
-        beside.join(texts, "doc_id").select("text", "chunks").mapInArrow(lambda b: _grams(b, length), "g1 long, g2 long, d1 long, d2 long, off int, first long, last long")
+        beside.join(texts, "doc_id").select("text", "chunks").mapInArrow(lambda b: _grams(b, length), "cut long, g long, d long, off int, first long, last long")
     )
-    both = grams.groupBy("g1", "g2").agg(F.min("first").alias("a"), F.max("last").alias("b")).where("a <> b").select("g1", "g2")
-    parts = lookup_join(grams, both, ["g1", "g2"], "inner").groupBy("d1", "d2").agg(F.min("off").alias("from"), F.max("off").alias("to"))
-    whole = distinct.where(F.col("first") != F.col("last")).select("d1", "d2", F.lit(0).alias("from"), (F.col("hi") - F.col("lo")).alias("to"))
-    known = cut(whole.unionByName(parts).groupBy("d1", "d2").agg(F.min("from").alias("from"), F.max("to").alias("to")))
-    hits = lookup_join(chunks, known, ["d1", "d2"], "inner").select("doc_id", (F.col("lo") + F.col("from")).alias("a"), (F.col("lo") + F.col("to") + length).alias("b"))
+    both = grams.groupBy("cut", "g").agg(F.min("first").alias("a"), F.max("last").alias("b")).where("a <> b").select("cut", "g")
+    parts = lookup_join(grams, both, ["cut", "g"], "inner").groupBy("cut", "d").agg(F.min("off").alias("from"), F.max("off").alias("to"))
+    whole = distinct.where(F.col("first") != F.col("last")).select("cut", "d", F.lit(0).alias("from"), (F.col("hi") - F.col("lo")).alias("to"))
+    known = cut(whole.unionByName(parts).groupBy("cut", "d").agg(F.min("from").alias("from"), F.max("to").alias("to")))
+    hits = lookup_join(chunks, known, ["cut", "d"], "inner").select("doc_id", (F.col("lo") + F.col("from")).alias("a"), (F.col("lo") + F.col("to") + length).alias("b"))
     order = Window.partitionBy("doc_id").orderBy("a", "b")
     so_far = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = hits.withColumn("new", F.when(F.col("a") <= so_far, 0).otherwise(1)).withColumn("k", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
