@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,30 +28,37 @@ class Stage:
     left: Column
     right: Column
     least: float | None = None
+    #: what fuzzy stages compare
+    typed: Column = field(default_factory=lambda: F.col("city"))
+    ref: Column = field(default_factory=lambda: F.col("r_city"))
 
 
 def place_stages(seq: int, foreign: bool) -> list[Stage]:
     """Exact, without blanks, by the first three letters, by the last four: for the seq-th part of the typed city (-1: all)."""
     base = 20.0 if foreign else 10.0
     typed, ref = part_of(F.col("city"), seq), F.col("r_city")
+    joined, r_joined = without_blanks(typed), without_blanks(ref)
     kind = "foreign" if foreign else "domestic"
     return [
         Stage(f"{kind} exact {seq}", base + 1, typed, ref),
-        Stage(f"{kind} joined {seq}", base + 1, without_blanks(typed), without_blanks(ref)),
-        Stage(f"{kind} first letters {seq}", base, F.left(typed, F.lit(3)), F.left(ref, F.lit(3)), 0.92),
-        Stage(f"{kind} last letters {seq}", base, reversed_prefix(typed, 4), reversed_prefix(ref, 4), 0.90),
+        Stage(f"{kind} joined {seq}", base + 1, joined, r_joined),
+        Stage(f"{kind} first letters {seq}", base, F.left(joined, F.lit(3)), F.left(r_joined, F.lit(3)), 0.92, joined, r_joined),
+        Stage(f"{kind} last letters {seq}", base, reversed_prefix(joined, 4), reversed_prefix(r_joined, 4), 0.90, joined, r_joined),
     ]
 
 
-def cascade(places: DataFrame, ref: DataFrame, ident: str, stages: Sequence[Stage], within: Sequence[str]) -> DataFrame:
+def cascade(places: DataFrame, ref: DataFrame, ident: str, stages: Sequence[Stage], within: Sequence[str], alike: Sequence[str] = ()) -> DataFrame:
     """(ident, ref_id, stage, score, candidates): the best reference row of the first stage that finds one.
 
     places has ident, city and the columns of `within`; ref has ref_id, r_city and the same columns. Every stage is an
     equi-join on its key and on `within`; what it finds is written out and leaves the work set, so later (dearer) stages
-    see only what is left. Ties go to the smallest name, then the smallest ref_id.
+    see only what is left. Ties go to rows of the same `alike` columns, where places and ref have them, then to the
+    smallest name, then the smallest ref_id.
     """
     found = None
-    base = cut(places.select(ident, "city", *within))
+    base = cut(places.select(ident, "city", *within, *alike))
+    ref = ref.withColumnsRenamed({a: f"__{a}" for a in alike})
+    same = [F.desc_nulls_last(F.col(a) == F.col(f"__{a}")) for a in alike]
     for s in stages:
         left = base if found is None else base.join(found.select(ident), ident, "left_anti")
         # the seq-th part of a name that has none is '', which is no key
@@ -60,14 +67,59 @@ def cascade(places: DataFrame, ref: DataFrame, ident: str, stages: Sequence[Stag
         if s.least is None:
             pairs = pairs.withColumn("score", F.lit(s.base))
         else:
-            pairs = pairs.withColumn("__sim", name_similarity(F.col("city"), F.col("r_city"))).where(F.col("__sim") > s.least).withColumn("score", F.lit(s.base) + F.col("__sim"))
+            pairs = pairs.withColumn("__sim", name_similarity(s.typed, s.ref)).where(F.col("__sim") > s.least).withColumn("score", F.lit(s.base) + F.col("__sim"))
         n = pairs.groupBy(ident).agg(F.count(F.lit(1)).alias("candidates"))
-        best = one_per_key(pairs, [ident], [F.desc("score"), F.asc("r_city"), F.asc("ref_id")]).join(n, ident)
+        best = one_per_key(pairs, [ident], [F.desc("score"), *same, F.asc("r_city"), F.asc("ref_id")]).join(n, ident)
         hit = cut(best.select(ident, "ref_id", F.lit(s.name).alias("stage"), "score", "candidates"))
         found = hit if found is None else found.unionByName(hit)
     return found
 
 
+def geocode(places: DataFrame, ref: DataFrame) -> DataFrame:
+    """(id, ref_id, stage, score, candidates) of places (id, city, state, country, zipcode, ncity, ncountry), codes of states and countries.
+
+    ref has ref_id, r_city, state, country, zipcode. Stages in order: for the whole name (-1) and each part between
+    commas or bars (0 to the last) those of place_stages; names corrected before (ncity in ncountry) as they are, without
+    blanks (foreign only) and by the first three letters; the ZIP of places of the US. Places of the US, of other
+    countries and without a country (which may be anywhere) score from 10, 20 and 40 on; corrected names 4 more, ZIP 31.
+
+    A name is matched once however many parts it is; a place takes what its first part with a match found, as if parts
+    came one after the other. Among equal scores places of the typed state come first.
+    """
+    ANYWHERE = ""
+    kind = F.when(F.col("country") == "US", "domestic").when(F.col("country") == ANYWHERE, "anywhere").otherwise("foreign")
+    more = F.when(F.col("country") == "US", 0.0).when(F.col("country") == ANYWHERE, 30.0).otherwise(10.0)
+    refs = cut(ref.withColumn("country", F.explode(F.array("country", F.lit(ANYWHERE)))))
+    within, alike = ["country"], ["state"]
+
+    def matched(named: DataFrame, stages: Sequence[Stage]) -> DataFrame:
+        """The rows of named (id, city, state, country, ...) with what their name finds."""
+        key = F.xxhash64("city", "country", "state")
+        names = named.select(key.alias("name"), "city", *within, *alike).distinct()
+        found = cascade(names, refs, "name", stages, within, alike)
+        return named.withColumn("name", key).join(found, "name").drop("name")
+
+    base = cut(places.withColumn("country", F.coalesce("country", F.lit(ANYWHERE))))
+    cells = F.split("city", r" *[,|] *")
+    parts = F.when(F.size(cells) > 1, F.concat(F.array("city"), cells)).otherwise(F.array("city"))
+    names = base.select("id", "state", "country", F.posexplode(parts).alias("seq", "city")).withColumn("seq", F.col("seq") - 1)
+    stages = [replace(s, name=s.name.removeprefix("domestic ").removesuffix(" -1")) for s in place_stages(-1, False)]
+    hit = one_per_key(matched(names, stages), ["id"], [F.asc("seq")])
+    first = cut(hit.select("id", "ref_id", F.concat_ws(" ", kind, "stage", "seq").alias("stage"), (F.col("score") + more).alias("score"), "candidates"))
+
+    corrected = base.join(first, "id", "left_anti").where("ncity <> ''").select("id", F.col("ncity").alias("city"), F.col("nstate").alias("state"), F.coalesce("ncountry", "country").alias("country"))
+    exact, joined, letters, _ = [replace(s, base=s.base + 4) for s in stages]
+    joined = replace(joined, left=F.when(F.col("country") != "US", joined.left))
+    hit = matched(corrected, [exact, joined, replace(letters, least=0.95)])
+    second = cut(hit.select("id", "ref_id", F.concat_ws(" ", kind, "stage", F.lit("corrected")).alias("stage"), (F.col("score") + more).alias("score"), "candidates"))
+
+    number = F.regexp_extract("zipcode", "^ *([0-9]+)", 1).try_cast("long").alias("zip")
+    left = base.join(first.unionByName(second), "id", "left_anti").where("country = 'US'").select("id", number)
+    zips = ref.where("country = 'US'").select(number, "ref_id")
+    by_zip = left.join(zips, "zip").groupBy("id").agg(F.min("ref_id").alias("ref_id"), F.lit("domestic zip").alias("stage"), F.lit(31.0).alias("score"), F.count(F.lit(1)).alias("candidates"))
+    return first.unionByName(second).unionByName(by_zip)
+
+
 def without_common_words(names: DataFrame, name: str, out: str, words: DataFrame, common_over: float) -> DataFrame:
     """out: the name without words counted more than common_over, numbers kept; its rarest word if all are common."""
     tokens = names.select(name, F.posexplode(F.split(name, " ")).alias("pos", "word")).distinct()

@@ -7,22 +7,32 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.countries import country_code, state_code
 from ledgerloom.functions.text import clean_place
 from ledgerloom.operators import entity as E
 from ledgerloom.operators.graph import min_labels
 from ledgerloom.queries.common import table as t
+from ledgerloom.session import cut
 from ledgerloom.streaming.ledger import event_windows, load_new_files, loaded
 
 
 def geocode_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """Typed places of loc against the reference list by stages; the reference is split into domestic and foreign."""
-    loc = t(spark, d, "loc").select("loc_id", clean_place(F.col("city")).alias("city"), F.upper(F.trim("country")).alias("country")).where("city <> ''")
-    ref = t(spark, d, "placeref").select(F.col("place_id").alias("ref_id"), clean_place(F.col("city")).alias("r_city"), F.upper("country").alias("country"))
-    places = loc.select("city", "country").distinct().withColumn("id", F.xxhash64("city", "country"))
-    home = E.cascade(places.where("country = 'US'"), ref, "id", E.place_stages(-1, False) + E.place_stages(0, False)[:2], ["country"])
-    away = E.cascade(places.where("country <> 'US'"), ref, "id", E.place_stages(-1, True), ["country"])
-    found = home.unionByName(away).join(places, "id").drop("id")
-    return loc.join(found, ["city", "country"]).select("loc_id", "ref_id", "stage", F.round("score", 6).alias("score"), "candidates")
+    """Typed places of loc against the reference list by stages; loc rows without a country look everywhere."""
+    loc = t(spark, d, "loc").select(
+        "loc_id",
+        clean_place(F.col("city")).alias("city"),
+        # a state typed as country is the state where that field names none
+        F.coalesce(state_code(F.col("state")), state_code(F.col("country"))).alias("state"),
+        country_code(F.col("country"), F.col("city")).alias("country"),
+        F.trim("zipcode").alias("zipcode"),
+        clean_place(F.col("ncity")).alias("ncity"),
+        state_code(F.col("nstate")).alias("nstate"),
+        country_code(F.col("ncountry"), F.col("ncity")).alias("ncountry"),
+    )
+    loc = cut(loc.where("city <> ''")).withColumn("id", F.xxhash64(*(F.coalesce(c, F.lit("\0")) for c in loc.columns[1:])))
+    ref = t(spark, d, "placeref").select(F.col("place_id").alias("ref_id"), clean_place(F.col("city")).alias("r_city"), F.upper("state").alias("state"), F.upper("country").alias("country"), "zipcode")
+    found = E.geocode(loc.drop("loc_id").distinct(), ref)
+    return loc.join(found, "id").select("loc_id", "ref_id", "stage", F.round("score", 6).alias("score"), "candidates")
 
 
 def disambiguate(spark: SparkSession, d: str) -> DataFrame:

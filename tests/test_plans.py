@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.countries import country_code
 from ledgerloom.operators import entity as E
 from ledgerloom.operators import ordered as W
 from ledgerloom.operators import tables as T
@@ -76,6 +77,32 @@ def test_cascade(spark):
     assert rows(got, "id", "ref_id", "stage") == [(1, 10, "domestic exact -1"), (2, 10, "domestic joined -1"), (3, 10, "domestic first letters -1")]
 
 
+def test_geocode_tries_all_parts_countries_corrections_and_zip(spark):
+    ref = spark.createDataFrame([(1, "ADAMTON", "OH", "US", "11111"), (2, "ADAMTON", "WI", "US", "22222"), (3, "BERNVILLE", None, "DE", None)], "ref_id int, r_city string, state string, country string, zipcode string")
+    places = [
+        (1, "ADAMTON", "WI", "US", None, None),
+        (2, "X,Y,ADAMTOM", "OH", "US", None, None),
+        (3, "X,Y,BERNVILL", None, "DE", None, None),
+        (4, "BERNVILLE", None, None, None, None),
+        (5, "QQ", None, "DE", None, "BERN VILLE"),
+        (6, "QQ", None, "US", "22222-1234", None),
+        (7, "QQ", None, "DE", "22222", None),
+        (8, "BERNVILLE", None, "FR", None, None),
+    ]
+    df = spark.createDataFrame(places, "id int, city string, state string, country string, zipcode string, ncity string").withColumns({"nstate": F.lit(None).cast("string"), "ncountry": F.lit(None).cast("string")})
+    assert rows(E.geocode(df, ref), "id", "ref_id", "stage") == [
+        (1, 2, "domestic exact -1"),
+        (2, 1, "domestic first letters 2"),
+        (3, 3, "foreign first letters 2"),
+        (4, 3, "anywhere exact -1"),
+        (5, 3, "foreign joined corrected"),
+        (6, 2, "domestic zip"),
+    ]
+    typed = ["usa", "U.S.A.", "United States", "España", "KRX", "Rep. of Korea", "nj", "CA", " ", None, "Brazil"]
+    got = spark.createDataFrame(list(enumerate(typed)), "i int, c string").select("i", country_code(F.col("c"), F.lit("X")).alias("k")).orderBy("i").collect()
+    assert [r["k"] for r in got] == ["US", "US", "US", "ES", "KR", "KR", "US", "CA", None, None, "BRAZIL"]
+
+
 def test_surveys(spark):
     series = spark.createDataFrame([("S1 ", "01", "x"), ("S2", "99", "y")], "series_id string, area_code string, kind string")
     data = spark.createDataFrame([("S1", "2000", "M01", " 5 "), ("S1", "2000", "M13", "6"), ("S1", "2001", "Q1", " "), ("S9", "2000", "A1", "1")], "series_id string, year string, period string, value string")
