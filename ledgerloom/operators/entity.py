@@ -140,30 +140,60 @@ def words_in_order(names: DataFrame, name: str, out: str, words: DataFrame, comm
     return names.join(listed.select(name, F.array_join(F.transform(F.slice("ws", F.lit(1), keep), lambda w: w["word"]), " ").alias(out)), name, "left")
 
 
+def typo_words(words: DataFrame, common_over: float) -> DataFrame:
+    """(word, count): words of five letters or more that aren't common and begin with the two letters of a common word to
+    which they are more than 0.95 similar, with the count of the most similar one. Common words are few by their limit.
+    """
+    top = words.where(F.col("count") > common_over).select(F.col("word").alias("top"), "count", F.left("word", F.lit(2)).alias("key"))
+    rare = words.where((F.col("count") < common_over) & (F.length("word") >= 5)).select("word", F.left("word", F.lit(2)).alias("key"))
+    near = rare.join(top, "key").withColumn("sim", name_similarity(F.col("word"), F.col("top"))).where("sim > 0.95")
+    return one_per_key(near, ["word"], [F.desc("sim"), F.asc("top")]).select("word", "count")
+
+
+def block_pairs(rows: DataFrame, key: str, ident: str, part: int = 500) -> DataFrame:
+    """Columns l and r (structs of rows): every two rows of a block once, l.ident < r.ident.
+
+    Blocks are cut into parts of about `part` rows by hash, and each two parts meet in a task of their own, so the pairs
+    of a large block are spread over many tasks.
+    """
+    n = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    k = F.ceil(F.col("__n") / part).cast("int")
+    at = rows.join(n, key).withColumn("__k", k).withColumn("__at", F.pmod(F.xxhash64(ident), "__k").cast("int"))
+    row = F.struct(*rows.columns)
+    left = at.select(key, F.col("__at").alias("__i"), F.explode(F.sequence(F.lit(0), F.col("__k") - 1)).alias("__j"), row.alias("l"))
+    right = at.select(key, F.explode(F.sequence(F.lit(0), F.col("__k") - 1)).alias("__i"), F.col("__at").alias("__j"), row.alias("r"))
+    return left.join(right, [key, "__i", "__j"]).where(f"l.{ident} < r.{ident}").select("l", "r")
+
+
 def disambiguate(names: DataFrame, name: str = "name", weight: str = "cnt") -> DataFrame:
     """(name, cluster): organisations by blocked matching rounds; cluster is the smallest name of the group.
 
     Words more frequent than the mean by three deviations count as common. Rounds link names with the same rare words in
     order, the same text without common words, the same letters, the same beginnings of words, and the same reversed
     text, where one of two similarities (whole names, names without common words) exceeds 0.95 or both exceed 0.9.
-    Inside a block names are compared with the block's smallest one, so a block of n names gives n - 1 pairs; groups are
-    what links join, directly or not.
+    Rare words that are nearly a common one (see typo_words) count as that one. In a block with similarities every two
+    names are compared, in the first two rounds, where a block's names are all alike, each with the smallest; groups are
+    what links join, directly or not, so no round needs repeating.
     """
     base = names.where(F.col(name).isNotNull() & (F.trim(name) != "")).groupBy(F.col(name).alias("name")).agg(F.sum(weight).alias("cnt"))
     base = cut(base.withColumn("clean", F.trim(F.regexp_replace(F.regexp_replace(F.upper("name"), r"[^\p{L}\p{N} ]", " "), " +", " "))).where("clean <> ''"))
     words = cut(token_frequency(base, "clean", "cnt"))
     limit = words.agg(F.avg("count") + 3 * F.stddev_pop("count")).first()[0] or 0.0
+    typos = typo_words(words, limit).withColumnRenamed("count", "top")
+    words = cut(words.join(typos, "word", "left").select("word", F.coalesce("top", "count").alias("count")))
     keyed = without_common_words(base, "clean", "fld2", words, limit)
     keyed = cut(words_in_order(keyed, "clean", "fld3", words, limit).withColumns({"block1": without_blanks(F.col("clean")), "block2": letters_block(F.col("clean")), "block3": backwards_block(F.col("clean"), F.col("fld2"))}))
     links = None
-    for key, exact in (("fld3", True), ("fld2", False), ("block1", False), ("block2", False), ("block3", False)):
-        lead = keyed.where(F.col(key) != "").groupBy(key).agg(F.min_by(F.struct("name", "clean", "fld2"), "name").alias("lead"))
-        pairs = keyed.join(lead, key).where("name <> lead.name")
-        if not exact:
-            j1, j2 = name_similarity(F.col("clean"), F.col("lead.clean")), name_similarity(F.col("fld2"), F.col("lead.fld2"))
-            pairs = pairs.withColumns({"j1": j1, "j2": j2}).where("j1 > 0.95 OR j2 > 0.95 OR (j1 > 0.9 AND j2 > 0.9)")
-        pairs = pairs.select(F.col("name").alias("a"), F.col("lead.name").alias("b"))
+    # names with the same fld2 have similarity 1 by it
+    for key in ("fld3", "fld2"):
+        lead = keyed.where(F.col(key) != "").groupBy(key).agg(F.min("name").alias("b"))
+        pairs = keyed.join(lead, key).where("name <> b").select(F.col("name").alias("a"), "b")
         links = pairs if links is None else links.unionByName(pairs)
+    for key in ("block1", "block2", "block3"):
+        pairs = block_pairs(keyed.where(F.col(key) != "").select("name", "clean", "fld2", key), key, "name")
+        j1, j2 = name_similarity(F.col("l.clean"), F.col("r.clean")), name_similarity(F.col("l.fld2"), F.col("r.fld2"))
+        near = pairs.where("l.fld2 <> r.fld2").withColumns({"j1": j1, "j2": j2}).where("j1 > 0.95 OR j2 > 0.95 OR (j1 > 0.9 AND j2 > 0.9)")
+        links = links.unionByName(near.select(F.col("l.name").alias("a"), F.col("r.name").alias("b")))
     labels = min_labels(cut(links))
     return base.select("name", "cnt").join(labels.withColumnRenamed("id", "name"), "name", "left").select("name", "cnt", F.coalesce("label", "name").alias("cluster"))
 

@@ -70,6 +70,18 @@ def test_disambiguation_is_deterministic(spark):
     assert ("ACME TOOL COMPANY", "Acme Tool Company") in rows(E.cluster_names(c), "cluster", "title")
 
 
+def test_disambiguation_compares_all_names_of_a_block(spark):
+    # all in one block of endings; AAAA... is smallest and like none of the others
+    tail = " INTERNATIONAL HOLDINGS COMPANY"
+    names = ["AAAAQXZ" + tail, "SHIEGLEND" + tail, "SHIEGLEMD" + tail]
+    got = dict(rows(E.disambiguate(spark.createDataFrame([(n, 1) for n in names], "name string, cnt int")), "name", "cluster"))
+    assert got == {names[0]: names[0], names[1]: names[2], names[2]: names[2]}
+    some = spark.createDataFrame([(i, "k" if i < 9 else "z") for i in range(10)], "i int, k string")
+    assert rows(E.block_pairs(some, "k", "i", 2), "l.i", "r.i") == sorted([(i, j) for i in range(9) for j in range(i + 1, 9)], key=str)
+    words = spark.createDataFrame([("CORPORATION", 90), ("CORPORATIO", 1), ("CORPS", 1)], "word string, count long")
+    assert rows(E.typo_words(words, 50.0)) == [("CORPORATIO", 90)]
+
+
 def test_cascade(spark):
     places = spark.createDataFrame([(1, "BERLIN", "X"), (2, "BER LIN", "X"), (3, "BERLIM", "X"), (4, "PARIS", "X"), (5, "BERLIN", "Y")], "id int, city string, country string")
     ref = spark.createDataFrame([(10, "BERLIN", "X"), (11, "ROMA", "X")], "ref_id int, r_city string, country string")
