@@ -287,14 +287,15 @@ def _links(f: DataFrame) -> DataFrame:
     # first and last name typed the other way round
     turned = person.where("s1 <> '' AND s1 <> k1").select("e", "src", F.col("s1").alias("k1"), F.col("s2").alias("k2"), F.col("s3").alias("m"))
     out += [_lookup(turned, full, [*same, "m"]), _lookup(turned, full, same)]
-    # slips: of a last name that no one else bears, or of a rare given name
-    bearers = full.groupBy("src", "k1").agg(F.count_distinct("k2").alias("n"))
+    # slips: of a last name or a given name that is rare, or rare beside the other; who bears a last name is counted by entity
+    rare = "(least(l.n, r.n) * 5 <= greatest(l.n, r.n) OR least(l.n, r.n) <= 2)"
+    bearers = full.groupBy("src", "k1").agg(F.count_distinct("e").alias("n"))
     named = full.select("e", "src", "k1", "k2", "m").unionByName(nicked)
     lasts = named.join(bearers, ["src", "k1"]).where(F.length("k1") >= 4)
-    out.append(_slips(lasts, "k1", ["src", "k2"], f"least(l.n, r.n) <= 1 AND {_clash('m', 'm')}"))
+    out.append(_slips(lasts, "k1", ["src", "k2"], f"{rare} AND {_clash('m', 'm')}"))
     uses = full.groupBy("k2").agg(F.count_distinct("k1").alias("n"))
     firsts = full.join(uses, "k2").where(F.length("k2") >= 4)
-    out.append(_slips(firsts, "k2", ["src", "k1"], f"(least(l.n, r.n) * 5 <= greatest(l.n, r.n) OR least(l.n, r.n) <= 2) AND {_clash('m', 'm')}"))
+    out.append(_slips(firsts, "k2", ["src", "k1"], f"{rare} AND {_clash('m', 'm')}"))
     few = [cut(reduce(DataFrame.unionByName, out[i : i + 2])) for i in range(0, len(out), 2)]
     links = cut(reduce(DataFrame.unionByName, few).distinct())
     release(person, *few)
