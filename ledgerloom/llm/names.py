@@ -302,7 +302,7 @@ def _links(f: DataFrame) -> DataFrame:
     return links
 
 
-def resolve_names(names: DataFrame, max_rounds: int = 8) -> DataFrame:
+def resolve_names(names: DataFrame) -> DataFrame:
     """names (src, name) -> (src, name, entity): spellings of one entity share a number.
 
     Merge and rematch: every spelling is parsed into a profile (for organisations core word, field, activity and legal
@@ -321,10 +321,8 @@ def resolve_names(names: DataFrame, max_rounds: int = 8) -> DataFrame:
     # equal profiles are one entity from the start; e is its number
     keys = ["src", *KEYS]
     f = cut(parsed.select(*keys, F.xxhash64("src", "kind", "k1", "k2", "k3", "k4").alias("e")).distinct())
-    for _ in range(max_rounds):
-        links = _links(f)
-        if links.isEmpty():
-            break
+    # every round with links merges at least two entities, so rounds end
+    while not (links := _links(f)).isEmpty():
         labels = connected_components(links).withColumnRenamed("id", "e")
         merged = cut(f.join(labels, "e", "left").withColumn("e", F.coalesce("label", "e")).drop("label"))
         release(f, links, labels)

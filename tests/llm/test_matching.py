@@ -79,6 +79,18 @@ def test_slip_of_a_last_name_with_two_bearers(spark):
     assert ["Taugnlient|Maria", "Taunglient|Maria"] in got and ["Taugnlient|Robert", "Taunglient|Robert"] in got and len(got) == 5
 
 
+def test_rounds_go_on_until_nothing_merges(spark, monkeypatch):
+    from ledgerloom.llm import names
+    from ledgerloom.session import cut
+
+    def one_link(f):
+        two = f.select("e").distinct().orderBy("e").limit(2).agg(F.min("e").alias("a"), F.max("e").alias("b"))
+        return cut(two.where("a < b"))
+
+    monkeypatch.setattr(names, "_links", one_link)
+    assert len(entity_sets(spark, [("inventor", f"{x * 5}|Ann") for x in "BCDFGHJKLM"])) == 1
+
+
 def test_pairs(spark):
     e = spark.createDataFrame([("s", "b", 1), ("s", "a", 1), ("s", "c", 1), ("t", "a", 1), ("s", "z", 2)], "src string, name string, entity long")
     assert rows(spelling_pairs(e)) == [("s", "a", "b"), ("s", "a", "c"), ("s", "b", "c")]
