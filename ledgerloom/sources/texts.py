@@ -80,7 +80,7 @@ def head_metadata(sectioned: DataFrame) -> DataFrame:
     head = sectioned.where("section = 'head' AND trim(line) <> ''")
     h = head.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("ls")).withColumn("ls", F.transform("ls", lambda x: F.btrim(x["line"], F.lit(' ",'))))
     text = F.array_join("ls", "\n")
-    rest = F.filter(F.slice("ls", 2, 1000), lambda x: ~x.rlike(r"^\[.*\]$|Last Revised"))
+    rest = F.filter(F.slice("ls", F.lit(2), F.size("ls")), lambda x: ~x.rlike(r"^\[.*\]$|Last Revised"))
     return h.select("file", F.get("ls", F.lit(0)).alias("title"), F.regexp_extract(text, r"\[([^\]]*)\]", 1).alias("units"), F.regexp_extract(text, r"Last Revised[: ]+(.*)", 1).alias("revised"), F.array_join(rest, "\n").alias("notes"))
 
 

@@ -115,6 +115,12 @@ def test_geocode_tries_all_parts_countries_corrections_and_zip(spark):
     assert [r["k"] for r in got] == ["US", "US", "US", "ES", "KR", "KR", "US", "CA", None, None, "BRAZIL"]
 
 
+def test_head_metadata_keeps_all_lines(spark):
+    head = spark.createDataFrame([("f", i, f"line {i}", "head") for i in range(1500)] + [("g", 0, "alone", "head")], "file string, pos int, line string, section string")
+    got = {r["file"]: r["notes"] for r in texts.head_metadata(head).collect()}
+    assert got == {"f": "\n".join(f"line {i}" for i in range(1, 1500)), "g": ""}
+
+
 def test_surveys(spark):
     series = spark.createDataFrame([("S1 ", "01", "x"), ("S2", "99", "y")], "series_id string, area_code string, kind string")
     data = spark.createDataFrame([("S1", "2000", "M01", " 5 "), ("S1", "2000", "M13", "6"), ("S1", "2001", "Q1", " "), ("S9", "2000", "A1", "1")], "series_id string, year string, period string, value string")
