@@ -73,9 +73,8 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _words(spark: SparkSession, d: str) -> DataFrame:
-    wrd = table(spark, d, "wrd").groupBy("loadfile", "word").agg(F.max("count").alias("count"), F.max("countf").alias("countf"))
-    words = wrd.select(normal_word(F.col("word")).alias("term"), "loadfile", "count", "countf").where("term <> ''")
-    return term_frequencies(words, "term", "loadfile", F.col("count"), F.col("countf"))
+    words = table(spark, d, "wrd").select(normal_word(F.col("word")).alias("term"), "loadfile", "word", "count", "countf").where("term <> ''")
+    return term_frequencies(words, "term", "loadfile", F.col("count"), F.col("countf"), item="word")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -73,6 +73,11 @@ def test_runs_across_batches(spark):
     try:
         df = spark.createDataFrame([(t, i) for t in ("a", "b", "c") for i in range(10)], "t string, r int")
         assert rows(term_frequencies(df, "t", "r", partitions=2), "term", "occurrences", "records") == [("a", 10, 10), ("b", 10, 10), ("c", 10, 10)]
+        # tallies stored repeatedly count once, by their largest values; another item of the same term and record counts too
+        tallies = [("a", "f1", "a.", n, w) for n, w in ((2, 5), (2, 5), (3, 4), (None, None), (1, 1), (2, 5), (3, 5))] + [("a", "f1", "A", 10, 1), ("a", None, "a.", 7, 1), ("b", "f1", None, 1, 1), ("b", "f1", None, 1, 1)]
+        df = spark.createDataFrame(tallies, "t string, r string, i string, n int, w int")
+        got = term_frequencies(df, "t", "r", F.col("n"), F.col("w"), item="i", partitions=2)
+        assert rows(got, "term", "occurrences", "weight", "records") == [("a", 20, 7, 2), ("b", 1, 1, 1)]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
