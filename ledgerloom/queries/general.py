@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.patents import key_code, patent_key
-from ledgerloom.operators.multivalue import explode_values, names_with_delimiters
+from ledgerloom.operators.multivalue import explode_values
 from ledgerloom.operators.orphans import ALWAYS, instants, orphan_report, orphan_rows
 from ledgerloom.operators.skew import eager_join_aggregate
 from ledgerloom.queries.common import table
@@ -64,17 +64,13 @@ orphan AS (
 """
 
 
-def _protected(spark: SparkSession, d: str) -> list[str]:
-    return names_with_delimiters(table(spark, d, "placeref"), "city")
-
-
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return explode_values(table(spark, d, "loc"), "city", ["loc_id"], _protected(spark, d), at_least=2)
+    return explode_values(table(spark, d, "loc"), "city", ["loc_id"], table(spark, d, "placeref"), "city", at_least=2)
 
 
 def p4_all(spark: SparkSession, d: str) -> DataFrame:
     """Every value of every loc row, single ones included."""
-    return explode_values(table(spark, d, "loc"), "city", ["loc_id"], _protected(spark, d))
+    return explode_values(table(spark, d, "loc"), "city", ["loc_id"], table(spark, d, "placeref"), "city")
 
 
 def _by_assignee(spark: SparkSession, d: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.patents import key_code, patent_key
-from ledgerloom.operators.multivalue import explode_values, split_values
+from ledgerloom.operators.multivalue import explode_values, split_values, with_values
 from ledgerloom.operators.orphans import ALWAYS, orphan_report, orphan_rows
 from ledgerloom.operators.skew import eager_join_aggregate, heavy_keys, lookup_join
 from tests.conftest import rows
@@ -54,6 +54,10 @@ CASES = {
     '"OLD ""MILL"" X"; Y': ['OLD "MILL" X', "Y"],
     'x\n"y"\tz': ["x", "y", "z"],
     "Smith, Wesson": ["Smith, Wesson"],
+    "A;" + " " * 40 + "Smith, Wesson": ["A", "Smith, Wesson"],
+    "Smith, Wesson;Smith, Wesson and" + "\u00a0" * 30 + "up AND down": ["Smith, Wesson", "Smith, Wesson", "up AND down"],
+    'A "q" Smith, Wesson': ["A q Smith, Wesson"],
+    '"q", Smith, Wesson': ["q", "Smith, Wesson"],
     "b; SMITH, wesson ; c": ["b", "SMITH, wesson", "c"],
     "Smith, Wessonia": ["Smith", "Wessonia"],
     "Up and Down and Left": ["Up and Down", "Left"],
@@ -70,7 +74,14 @@ def test_split_values(spark):
     df = spark.createDataFrame([(i, x, "extra") for i, x in enumerate(CASES)], "id int, city string, pos string")
     got = {r["city"]: r["v"] for r in df.select("city", split_values(F.col("city"), ["Smith, Wesson", "Up and Down", None, ""]).alias("v")).collect()}
     assert got == CASES
-    out = explode_values(df, "city", ["id"], ["Smith, Wesson"], at_least=2)
+    names = spark.createDataFrame([(x,) for x in ["Smith, Wesson", "Up and Down", None, "", "plain", "a\\E, b.*", "Smith, Wesson"]], "name string")
+    # by one expression, and by the join that stands in for it beyond a number of names
+    for at_most in (1000, 1):
+        got = {r["city"]: r["v"] for r in with_values(df, "city", "v", names, "name", at_most).collect()}
+        assert got == CASES
+    odd = spark.createDataFrame([(1, "x;A\\e, B.*;y")], "id int, city string")
+    assert [r["v"] for r in with_values(odd, "city", "v", names, "name", 1).collect()] == [["x", "A\\e, B.*", "y"]]
+    out = explode_values(df, "city", ["id"], names, "name", at_least=2)
     assert [tuple(r) for r in out.where("id = 0").orderBy("pos").collect()] == [(0, 1, "A"), (0, 2, "B"), (0, 3, "C")]
     assert explode_values(df.limit(0), "city", ["id"]).collect() == []
 
