@@ -12,7 +12,7 @@ from ledgerloom.llm.places import match_places
 from ledgerloom.llm.spans import shared_share, shared_spans
 from ledgerloom.llm.terms import mark_terms, normal_word, term_frequencies
 from ledgerloom.llm.tokens import token_ids, token_text
-from ledgerloom.operators.multivalue import names_with_delimiters, split_values
+from ledgerloom.operators.multivalue import with_values
 from ledgerloom.queries.common import table
 from ledgerloom.session import cut
 
@@ -20,9 +20,8 @@ from ledgerloom.session import cut
 def _single_places(spark: SparkSession, d: str) -> DataFrame:
     """loc rows whose city names one place, with the place each denotes."""
     ref = table(spark, d, "placeref")
-    protected = names_with_delimiters(ref, "city")
     loc = table(spark, d, "loc").select("loc_id", "city", "state", "country", "zipcode").where(F.col("city").rlike(r"[^\s\p{Z}]"))
-    one = loc.withColumn("values", split_values(F.col("city"), protected)).where(F.size("values") <= 1)
+    one = with_values(loc, "city", "values", ref, "city").where(F.size("values") <= 1)
     one = one.withColumn("value", F.coalesce(F.get("values", F.lit(0)), F.lit("")))
     return match_places(one, ref, "value", "state", "country", "zipcode")
 
