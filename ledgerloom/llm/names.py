@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -83,25 +84,7 @@ for _r, _row in enumerate(_ROWS):
 _NEAR = {c: frozenset(x) for c, x in _NEAR.items()}
 
 
-def slip(a: str, b: str) -> bool:
-    """Whether one slip makes b of a: a letter too many or too few, two swapped, or a neighbouring key hit."""
-    if len(a) > len(b):
-        a, b = b, a
-    n = len(a)
-    if len(b) - n > 1 or n < 3:
-        return False
-    i = 0
-    while i < n and a[i] == b[i]:
-        i += 1
-    if len(b) > n:
-        return a[i:] == b[i + 1 :]
-    if i == n:
-        return True
-    if a[i + 1 :] == b[i + 1 :]:
-        return b[i] in _NEAR.get(a[i], ())
-    return i + 1 < n and a[i] == b[i + 1] and a[i + 1] == b[i] and a[i + 2 :] == b[i + 2 :]
-
-
+@functools.lru_cache(100_000)
 def _word(w: str) -> tuple[str, str] | None:
     """Kind and canonical form of a word of business, allowing for one edit in longer words."""
     if w in _WORD:
@@ -131,6 +114,12 @@ def _words(name: str) -> list[str]:
 
 def parse_organisation(name: str) -> tuple[str, str, str, str, str] | None:
     """(`org`, core, field, activity, legal form) of a name with at least one word of business; else None."""
+    got = _organisation(name)
+    return got and got[:-1]
+
+
+def _organisation(name: str) -> tuple[str, str, str, str, str, str] | None:
+    """What parse_organisation gives, and the words of the core with blanks between them."""
     parts: dict[str, list[str]] = {"field": [], "activity": [], "legal": []}
     core: list[str] = []
     words = _words(re.sub(r"(?<=[a-zß-ÿ]{3})(?=[A-ZÀ-Þ][a-zß-ÿ]{3})", " ", name))
@@ -159,7 +148,7 @@ def parse_organisation(name: str) -> tuple[str, str, str, str, str] | None:
         return None
     one = lambda xs: " ".join(sorted(set(xs)))
     legal = [x for x in parts["legal"] if x != "co"] or parts["legal"]
-    return "org", "".join(whole) or one(parts["field"] + parts["activity"]), one(parts["field"]), one(parts["activity"]), one(legal)
+    return "org", "".join(whole) or one(parts["field"] + parts["activity"]), one(parts["field"]), one(parts["activity"]), one(legal), " ".join(whole)
 
 
 def parse_person(last: str, first: str) -> tuple[str, str, str, str, str] | None:
@@ -186,148 +175,329 @@ def swapped(name: str) -> tuple[str, str, str]:
     return "".join(w for w in fold(last).split() if w not in SUFFIXES), words[0], "".join(words[1:])
 
 
-def _less(word: str) -> list[str]:
-    """word and all that is left of it without one letter: words one slip apart share at least one of these."""
-    return sorted({word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}) if 4 <= len(word) <= 60 else [word]
-
-
-KEYS = ["kind", "k1", "k2", "k3", "k4", "s1", "s2", "s3"]
-FEATURES = "src string, name string, kind string, k1 string, k2 string, k3 string, k4 string, s1 string, s2 string, s3 string"
+KEYS = ["kind", "k1", "k2", "k3", "k4", "s1", "s2", "s3", "w"]
+FEATURES = "src string, name string, " + ", ".join(f"{k} string" for k in KEYS)
 
 
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Profiles of names: kind, parts (k1 to k4), a person's parts typed the other way round (s1 to s3), words of an
+    organisation's core (w; for a person between commas, who may be an organisation, the words in alphabetical order as one)."""
     for df in batches:
         rows = []
         for src, name in zip(df["src"], df["name"], strict=True):
-            got = None
+            turned, words = ("", "", ""), ""
             if src == "assignee":
-                got = parse_organisation(name)
-                if not got and "," in name:
+                got = _organisation(name)
+                if got:
+                    got, words = got[:-1], got[-1]
+                elif "," in name:
                     got = parse_person(name, "")
-                elif not got and fold(name):
+                    words = "".join(sorted({*_words(name)}))
+                elif fold(name):
                     got = ("org", "".join(_words(name)), "", "", "")
+                    words = " ".join(w for w in _words(name) if w not in FILLERS)
             else:
                 last, _, first = name.partition("|")
-                got = parse_person(last, first)
+                got, turned = parse_person(last, first), swapped(name)
             if got:
-                rows.append((src, name, *got, *(swapped(name) if src != "assignee" else ("", "", ""))))
+                rows.append((src, name, *got, *turned, words))
         yield pd.DataFrame(rows, columns=["src", "name", *KEYS])
 
 
-def _star(rows: DataFrame, key: list[str], also: Column | None = None) -> DataFrame:
-    """Links (a, b) of each entity to the smallest of its key, in groups for which `also` (an aggregate) holds; no pairs."""
-    ok = also if also is not None else F.lit(True)
-    sums = rows.groupBy(*key).agg(F.min("e").alias("lead"), F.max("e").alias("__max"), ok.alias("__ok")).where("__ok AND lead <> __max")
-    return rows.select(*key, "e").distinct().join(sums.select(*key, "lead"), key).where("e <> lead").select(F.col("lead").alias("a"), F.col("e").alias("b"))
-
+def _key(kind: str, *parts: str | Column) -> Column:
+    """A block: its kind, and what its members share. Parts are folded, so none holds the separator."""
+    return F.concat_ws("\x01", F.lit(kind), *(F.col(p) if isinstance(p, str) else p for p in parts))
 
-def _one(x: str, given: Column | None = None) -> Column:
-    """Aggregate: there is at most one distinct non-empty value of x."""
-    v = F.when(F.col(x) != "", F.col(x)) if given is None else F.when(given, F.col(x))
-    return F.coalesce(F.min(v) == F.max(v), F.lit(True))
 
+# ---- what the corpus says about words: short forms, words left out
 
-def _lookup(few: DataFrame, many: DataFrame, key: list[str]) -> DataFrame:
-    """Links of each entity of few to the entity of many with its key, if there is just one."""
-    known = many.groupBy(*key).agg(F.min("e").alias("a"), F.max("e").alias("z")).where("a = z").select(*key, "a")
-    hit = few.join(known, key).groupBy(F.col("e").alias("b")).agg(F.min("a").alias("a"), F.max("a").alias("z"))
-    return hit.where("a = z AND a <> b").select("a", "b")
 
+def _learn(f: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What the corpus says about organisations with two or more words in their core: (links (a, b), forms).
 
-def _slips(rows: DataFrame, fuzzy: str, key: list[str], ok: str) -> DataFrame:
-    """Links between entities equal in key whose values of fuzzy are one slip apart and for which ok (SQL on l, r) holds.
+    Two profiles that differ in one word, where one word is a short form of the other (its beginning from three letters
+    on, or its first, last and some letters between in their order), are one, if the long word isn't the rarest of its
+    name: what names differ in by its rarest word are different names. A short form that stands so for one long word in
+    three or more different names stands for it everywhere.
 
-    Rows meet where deleting one letter gives the same word. The words that can meet in one block are those made by
-    putting a letter into one word, a bounded number, as equal words were merged before.
+    forms has p, ks (the core as one word: with its words in alphabetical order, and with long forms), ws (a key of its
+    words as a set) and rest (that key without the last word, if that isn't the rarest). A set of words is known by the
+    exclusive or of two hashes of each and its size, so a name of any length gives one key for each of its words.
     """
-    less = F.udf(_less, "array<string>", useArrow=True)
-    made = cut(rows.withColumn("less", F.explode(less(fuzzy))))
-    by = ["less", *key]
-    crowded = made.groupBy(*by).agg(F.min(fuzzy).alias("x"), F.max(fuzzy).alias("y")).where("x <> y").select(*by)
-    blocks = made.join(crowded, by)
-    pairs = blocks.alias("l").join(blocks.alias("r"), by).where(f"l.{fuzzy} < r.{fuzzy} AND l.e <> r.e AND ({ok})")
-    near = F.udf(slip, "boolean", useArrow=True)
-    pairs = pairs.select(F.col(f"l.{fuzzy}").alias("x"), F.col(f"r.{fuzzy}").alias("y"), F.col("l.e").alias("a"), F.col("r.e").alias("b")).distinct()
-    return pairs.where(near("x", "y")).select("a", "b")
+    hashes = lambda x: (F.xxhash64(x), F.xxhash64(F.lit("second"), x))
+    words = F.array_distinct(F.split("w", " "))
+    g = f.where("kind = 'org'").withColumn("xs", words).where(F.size("xs") > 1)
+    tokens = cut(g.select("e", "p", "src", "k2", "k3", "k4", F.element_at(F.split("w", " "), -1).alias("last"), F.explode("xs").alias("x")))
+    uses = tokens.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    tokens_n = tokens.join(uses, "x")
+    h1, h2 = hashes(F.col("x"))
+    sets = tokens_n.groupBy("p").agg(F.bit_xor(h1).alias("h1"), F.bit_xor(h2).alias("h2"), F.count(F.lit(1)).alias("size"), F.slice(F.array_sort(F.collect_list(F.struct("n", "x"))), 1, 2).alias("rare"))
+    listed = cut(tokens_n.join(sets, "p"))
+    others = F.when(F.col("rare")[0]["x"] == F.col("x"), F.col("rare")[1]["n"]).otherwise(F.col("rare")[0]["n"])
+    rest = F.concat_ws("/", F.col("h1").bitwiseXOR(h1).cast("string"), F.col("h2").bitwiseXOR(h2).cast("string"), (F.col("size") - 1).cast("string"))
+    holes = cut(listed.select("e", "p", "x", _key("hole", "src", "k2", "k3", "k4", rest).alias("hole"), (F.col("n") >= others).alias("common"), (F.col("x") == F.col("last")).alias("is_last"), rest.alias("rest")))
+    tags = F.array(F.concat(F.lit("begins "), F.left("x", F.lit(3))), F.concat(F.left("x", F.lit(1)), F.right("x", F.lit(1))))
+    tagged = holes.select("e", "x", "hole", "common", F.explode(tags).alias("tag"))
+    long, short = tagged.where("common").select("hole", "tag", F.col("e").alias("a"), F.col("x").alias("long")), tagged.select("hole", "tag", F.col("e").alias("b"), F.col("x").alias("short"))
+    inside = F.concat(F.lit("^"), F.regexp_replace("short", "(.)", "$1.*"))
+    is_short = (F.length("short") > 1) & (F.length("short") < F.length("long")) & F.when(F.col("tag").startswith("begins"), (F.length("short") > 2) & F.startswith("long", "short")).otherwise(F.rlike("long", inside))
+    pairs = cut(long.join(short, ["hole", "tag"]).where("a <> b").where(is_short).select("hole", "short", "long", "a", "b").distinct())
+    one = pairs.groupBy("hole", "short").agg(F.max("long").alias("long"), F.min("long").alias("a")).where("startswith(long, a)").drop("a")
+    links = cut(pairs.join(one, ["hole", "short", "long"]).select("a", "b").distinct())
+    counted = pairs.groupBy("short", "long").agg(F.count_distinct("hole").alias("n")).where("n > 2")
+    stands = counted.groupBy("short").agg(F.max("long").alias("long"), F.min("long").alias("a")).where("startswith(long, a)").select(F.col("short").alias("x"), "long")
+    again = listed.select("p", "x").join(stands, "x", "left").groupBy("p").agg(
+        F.array_join(F.array_sort(F.collect_list("x")), "").alias("k_sorted"), F.array_join(F.array_sort(F.collect_list(F.coalesce("long", "x"))), "").alias("k_long")
+    )
+    lasts = holes.where("is_last AND common").groupBy("p").agg(F.min("rest").alias("rest"))
+    whole = F.concat_ws("/", F.col("h1").cast("string"), F.col("h2").cast("string"), F.col("size").cast("string"))
+    forms = sets.select("p", F.when(F.col("size") > 1, whole).alias("ws"), F.col("size").alias("n_words")).join(again, "p").join(lasts, "p", "left")
+    forms = cut(forms.select("p", F.array("k_sorted", "k_long").alias("ks"), "ws", F.when(F.col("n_words") > 2, F.col("rest")).alias("rest")))
+    release(tokens, listed, holes, pairs)
+    return links, forms
+
+
+# ---- blocks
+
+
+def _nicknames() -> Column:
+    """The long forms a given name (k2) may stand for, from the fixed list."""
+    pairs = [x for n, xs in NICKNAMES.items() for x in (F.lit(n), F.array(*map(F.lit, xs.split())))]
+    return F.try_element_at(F.create_map(*pairs), F.col("k2"))
+
+
+def _row(when: Column, key: Column, role: str, blank: Column | None = None, v: str | None = None, w: str | None = None, rule: int = 0, want_blank: bool = False) -> Column:
+    """A profile's entry in a block, null unless `when`. Roles: `member` (linked with the others), `target` (only found), `seeker` (finds)."""
+    none = F.lit(None).cast("string")
+    col = lambda x: none if x is None else F.nullif(F.col(x), F.lit(""))
+    entry = F.struct(
+        key.alias("key"), F.lit(role).alias("role"), (blank if blank is not None else F.lit(False)).alias("blank"), col(v).alias("v"), col(w).alias("w"), F.lit(rule).alias("rule"), F.lit(want_blank).alias("want_blank")
+    )
+    return F.when(when, entry)
+
+
+def _agree(x: str) -> Column:
+    """Aggregate: at most one distinct value of x that isn't null, known by 128 bits, so that the aggregate can hash."""
+    h = lambda *salt: F.when(F.col(x).isNotNull(), F.xxhash64(*salt, x))
+    one, two = h(), h(F.lit("second"))
+    return F.coalesce((F.min(one) == F.max(one)) & (F.min(two) == F.max(two)), F.lit(True))
+
+
+def _entries(f: DataFrame) -> DataFrame:
+    """All profiles' entries in all blocks: e, key, role, blank, v, w, rule, want_blank."""
+    org, person = F.col("kind") == "org", F.col("kind") == "person"
+    core = F.col("core")
+    orgs = [
+        _row(org, _key("org", "src", core, "k2", "k4", "k3"), "member"),
+        _row(org, _key("activity left out", "src", core, "k2", "k4"), "member", v="k3"),
+        _row(org, _key("form left out", "src", core, "k2"), "member", v="k3", w="k4"),
+    ]
+    left = [
+        _row(org & F.col("ws").isNotNull(), _key("word left out", "src", "ws", "k2", "k3", "k4"), "seeker", rule=1),
+        _row(org & F.col("rest").isNotNull(), _key("word left out", "src", "rest", "k2", "k3", "k4"), "target"),
+    ]
+    full, short, none = person & (F.length("k2") > 1), person & (F.length("k2") == 1), person & (F.col("k2") == "")
+    blank = F.col("m") == ""
+    initial = F.left("k2", F.lit(1))
+    named, name = _key("person", "src", "k1", "k2", "m"), _key("name", "src", "k1", "k2")
+    people = [
+        _row(full | short, named, "member"),
+        _row(full, name, "member", blank, v="m"),
+        _row(full, _key("initials", "src", "k1", initial, "m"), "target"),
+        _row(full, _key("initial", "src", "k1", initial), "target", blank),
+        _row(none, _key("last name", "src", "k1"), "member"),
+        # an initial stands for the only person it fits, with the same middle initials or none
+        _row(short & ~blank, _key("initials", "src", "k1", "k2", "m"), "seeker", rule=2),
+        _row(short & ~blank, _key("initial", "src", "k1", "k2"), "seeker", rule=3, want_blank=True),
+        _row(short & blank, _key("initial", "src", "k1", "k2"), "seeker", rule=4),
+    ]
+    turned = person & (F.col("s1") != "") & (F.col("s1") != F.col("k1"))
+    people += [  # first and last name typed the other way round
+        _row(turned, _key("person", "src", "s1", "s2", "s3"), "seeker", rule=5),
+        _row(turned, _key("name", "src", "s1", "s2"), "seeker", rule=6),
+    ]
+    # what looks like `last name, first name` is an organisation if one without a comma has the same words
+    people.append(_row(person & (F.col("w") != ""), _key("org", "src", "w", F.lit(""), F.lit(""), F.lit("")), "seeker", rule=10))
+    long = F.col("long")
+    nicks = [  # a short form of a given name stands for the only long form there is
+        _row(full, _key("person", "src", "k1", long, "m"), "seeker", rule=7),
+        _row(full & blank, _key("name", "src", "k1", long), "seeker", rule=8),
+        _row(full & ~blank, _key("name", "src", "k1", long), "seeker", rule=9, want_blank=True),
+    ]
 
+    def made(df: DataFrame, entries: list[Column]) -> DataFrame:
+        return df.select("e", F.explode(F.array_compact(F.array(*entries))).alias("x")).select("e", "x.*")
 
-def _clash(a: str, b: str) -> str:
-    return f"(l.{a} = '' OR r.{b} = '' OR l.{a} = r.{b})"
+    cores = f.where(org).withColumn("core", F.explode(F.array_distinct(F.concat(F.array("k1"), F.coalesce("ks", F.array().cast("array<string>"))))))
+    nicked = f.where(full).withColumn("long", F.explode(_nicknames()))
+    parts = [made(cores, orgs), made(f.where(F.col("ws").isNotNull()), left), made(f.where(person), people), made(nicked, nicks)]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _links(f: DataFrame) -> DataFrame:
-    """Links (a, b) between entities, from the profiles as they are now.
+def _block_links(f: DataFrame) -> DataFrame:
+    """Links (a, b) of all rules in which profiles agree: one aggregate over the blocks, joined back to their entries.
 
-    Rules run a few at a time, so that no plan is large.
+    Members of a block are linked with its smallest entity, if no two of them contradict each other in v or w; a seeker
+    with the block's only entity, if all it finds by a rule is one. After the first round only blocks are looked at that
+    hold, or held, a profile whose entity or initials the last merge changed: the others give what they gave before.
     """
-    org = f.where("kind = 'org'")
-    by_core = ["src", "k1", "k2"]
-    out = [
-        _star(org, [*by_core, "k4", "k3"]),
-        _star(org, [*by_core, "k4"], _one("k3")),  # an activity left out
-        _star(org, by_core, _one("k4") & _one("k3")),  # a legal form left out
-        _slips(org.select("e", "src", "k1", "k2", "k3", "k4").distinct().where(F.length("k1") >= 4), "k1", ["src", "k2"], f"{_clash('k3', 'k3')} AND {_clash('k4', 'k4')}"),
+    entries = _entries(f)
+    if "m0" in f.columns and (n := f.agg(F.count_if("moved").alias("moved"), F.count(F.lit(1)).alias("all")).first())["moved"] * 4 < n["all"]:  # else nearly all blocks are
+        moved = f.where("moved")
+        touched = _entries(moved).select("key").unionByName(_entries(moved.withColumn("m", F.col("m0"))).select("key")).distinct()
+        entries = entries.join(touched, "key", "left_semi")
+    entries = cut(entries)
+    found, empty = F.col("role") != "seeker", F.col("blank")
+    e = lambda cond: F.when(cond, F.col("e"))
+    stats = entries.groupBy("key").agg(
+        F.min(e(found)).alias("lead"), F.max(e(found)).alias("top"), F.min(e(found & empty)).alias("lead0"), F.max(e(found & empty)).alias("top0"),
+        _agree("v").alias("v_one"), _agree("w").alias("w_one"),
+        F.bool_or(~found).alias("sought"),
+    ).select("key", "lead", "top", "lead0", "top0", (F.col("v_one") & F.col("w_one")).alias("agree"), "sought").where("lead IS NOT NULL AND (sought OR (agree AND lead <> top))")
+    hits = entries.where("role <> 'target'").select("e", "key", "role", "rule", "want_blank").join(stats, "key")
+    star = (F.col("role") == "member") & F.col("agree")
+    a = F.when(star, F.col("lead")).when((F.col("role") == "seeker") & F.col("want_blank"), F.when(F.col("lead0") == F.col("top0"), F.col("lead0"))).when(F.col("role") == "seeker", F.when(F.col("lead") == F.col("top"), F.col("lead")))
+    hits = cut(hits.select("rule", a.alias("a"), F.col("e").alias("b")).where("a IS NOT NULL"))
+    release(entries)
+    one = hits.where("rule > 0").groupBy("rule", "b").agg(F.min("a").alias("a"), F.max("a").alias("z")).where("a = z")
+    return hits.where("rule = 0").select("a", "b").unionByName(one.select("a", "b")).where("a <> b").distinct()
+
+
+# ---- slips
+
+
+def _near(a: Column, b: Column) -> Column:
+    """Whether two words that are alike without one letter (word, at, ch: the letter that went, at -1 none) are a slip apart:
+    a letter too many or too few, two neighbours swapped, or a neighbouring key hit."""
+    whole = (a["at"] < 0) != (b["at"] < 0)
+    keys = F.instr(F.lit(_BESIDE), F.concat(F.lit(" "), a["ch"], b["ch"], F.lit(" "))) > 0
+    return whole | ((a["at"] >= 0) & (b["at"] >= 0) & (((a["at"] == b["at"]) & keys) | ((F.abs(a["at"] - b["at"]) == 1) & (a["ch"] == b["ch"]))))
+
+
+_BESIDE = " " + "  ".join(a + b for a, near in sorted(_NEAR.items()) for b in sorted(near)) + " "
+
+
+def _slip_members(f: DataFrame) -> DataFrame:
+    """(block, x, y, is_x, p, wx, wy): the profiles (p) of words x and y one slip apart in the same block; is_x tells which.
+
+    Words don't change from round to round, so this is found once. The distinct words of a block meet where deleting one
+    letter leaves the same; those that can meet are made by putting a letter into one word, a bounded number. wx and wy
+    are the names whose bearers decide whether a slip is likely, null for organisations.
+    """
+    org, full = f.where("kind = 'org'"), f.where((F.col("kind") == "person") & (F.length("k2") > 1))
+    nicked = full.withColumn("k2", F.explode(_nicknames()))
+    none = F.lit(None).cast("string")
+    rows = [
+        org.select(_key("core", "src", "k2").alias("block"), F.col("k1").alias("word"), "p", none.alias("who")),
+        full.unionByName(nicked).select(_key("last", "src", "k2").alias("block"), F.col("k1").alias("word"), "p", _key("last", "src", "k1").alias("who")),
+        full.select(_key("first", "src", "k1").alias("block"), F.col("k2").alias("word"), "p", _key("first", "k2").alias("who")),
     ]
-    person = f.where("kind = 'person'").select("e", "src", "k1", "k2", "k3", "s1", "s2", "s3").distinct()
-    # middle initials that a profile has gathered count for all its spellings
-    middle = person.groupBy("e").agg(F.max("k3").alias("m"))
-    person = cut(person.join(middle, "e"))
-    full, short = person.where(F.length("k2") >= 2), person.where(F.length("k2") == 1)
-    same = ["src", "k1", "k2"]
-    out += [_star(full, [*same, "m"]), _star(full, same, _one("m")), _star(short, [*same, "m"]), _star(person.where("k2 = ''"), same)]
-    # an initial stands for the only person it fits, with the same middle initials or none
-    initial = full.select("src", "k1", "e", "m", F.left("k2", F.lit(1)).alias("k2")).distinct()
-    with_m = short.where("m <> ''")
-    out += [_lookup(with_m, initial, [*same, "m"]), _lookup(with_m, initial.where("m = ''"), same), _lookup(short.where("m = ''"), initial, same)]
-    # a short form of a given name stands for the only long form there is
-    spark = f.sparkSession
-    nick = spark.createDataFrame([(n, x) for n, xs in NICKNAMES.items() for x in xs.split()], "k2 string, long string")
-    nicked = full.join(F.broadcast(nick), "k2").select("e", "src", "k1", F.col("long").alias("k2"), "m")
-    out += [_lookup(nicked, full, [*same, "m"]), _lookup(nicked.where("m = ''"), full, same), _lookup(nicked.where("m <> ''"), full.where("m = ''"), same)]
-    # first and last name typed the other way round
-    turned = person.where("s1 <> '' AND s1 <> k1").select("e", "src", F.col("s1").alias("k1"), F.col("s2").alias("k2"), F.col("s3").alias("m"))
-    out += [_lookup(turned, full, [*same, "m"]), _lookup(turned, full, same)]
-    # slips: of a last name or a given name that is rare, or rare beside the other; who bears a last name is counted by entity
-    rare = "(least(l.n, r.n) * 5 <= greatest(l.n, r.n) OR least(l.n, r.n) <= 2)"
-    bearers = full.groupBy("src", "k1").agg(F.count_distinct("e").alias("n"))
-    named = full.select("e", "src", "k1", "k2", "m").unionByName(nicked)
-    lasts = named.join(bearers, ["src", "k1"]).where(F.length("k1") >= 4)
-    out.append(_slips(lasts, "k1", ["src", "k2"], f"{rare} AND {_clash('m', 'm')}"))
-    uses = full.groupBy("k2").agg(F.count_distinct("k1").alias("n"))
-    firsts = full.join(uses, "k2").where(F.length("k2") >= 4)
-    out.append(_slips(firsts, "k2", ["src", "k1"], f"{rare} AND {_clash('m', 'm')}"))
-    few = [cut(reduce(DataFrame.unionByName, out[i : i + 2])) for i in range(0, len(out), 2)]
-    links = cut(reduce(DataFrame.unionByName, few).distinct())
-    release(person, *few)
-    return links
+    rows = cut(reduce(DataFrame.unionByName, rows).where(F.length("word") >= 4).distinct())
+    at = F.concat(F.array(F.lit(-1)), F.sequence(F.lit(0), F.length("word") - 1))
+    gone = F.transform(at, lambda i: F.struct(F.concat(F.substr("word", F.lit(1), i), F.substr("word", i + 2)).alias("left"), i.alias("at"), F.substr("word", i + 1, F.lit(1)).alias("ch")))
+    gone = F.transform(gone, lambda x: F.when(x["at"] < 0, F.struct(F.col("word").alias("left"), x["at"], F.lit("").alias("ch"))).otherwise(x))
+    made = cut(rows.select("block", "word", "who").distinct().select("block", "word", "who", F.inline(gone)).withColumn("h", F.xxhash64("block", "left")))
+    # most are alone in their place; a hash tells so, and what it lets through is compared in full
+    crowded = made.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    met = made.join(crowded, "h", "left_semi").groupBy("block", "left").agg(F.collect_list(F.struct("word", "who", "at", "ch")).alias("ws")).where(F.size("ws") > 1)
+    pair = lambda a, b: F.struct(a["word"].alias("x"), b["word"].alias("y"), a["who"].alias("wx"), b["who"].alias("wy"))
+    pairs = F.flatten(F.transform("ws", lambda a: F.transform(F.filter("ws", lambda b: (a["word"] < b["word"]) & _near(a, b)), lambda b: pair(a, b))))
+    pairs = met.select("block", F.inline(pairs)).distinct()
+    sides = pairs.select("*", F.inline(F.array(F.struct(F.lit(True).alias("is_x"), F.col("x").alias("word")), F.struct(F.lit(False).alias("is_x"), F.col("y").alias("word")))))
+    out = cut(sides.join(rows.drop("who"), ["block", "word"]).drop("word"))
+    release(rows, made)
+    return out
+
+
+def _slip_links(f: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) between entities whose cores, last names or given names are one slip apart and whose other parts agree.
+
+    Entities of two near words are linked if the rest of their profiles is equal; where one says less (no legal form, no
+    middle initial), with the only entity of the other word that agrees with what it says. A last or given name must be
+    rare, or rare beside the other; bearers are counted by entity.
+    """
+    full = f.where((F.col("kind") == "person") & (F.length("k2") > 1))
+    bearers = full.groupBy(_key("last", "src", "k1").alias("who")).agg(F.count_distinct("e").alias("n"))
+    uses = full.groupBy(_key("first", "k2").alias("who")).agg(F.count_distinct("k1").alias("n"))
+    counts = bearers.unionByName(uses)
+    likely = members.join(counts.withColumnsRenamed({"who": "wx", "n": "nx"}), "wx", "left").join(counts.withColumnsRenamed({"who": "wy", "n": "ny"}), "wy", "left")
+    likely = likely.where("wx IS NULL OR least(nx, ny) * 5 <= greatest(nx, ny) OR least(nx, ny) <= 2").select("block", "x", "y", "is_x", "p")
+    org = F.col("kind") == "org"
+    now = f.select("p", "e", F.when(org, F.col("k3")).otherwise(F.col("m")).alias("c"), F.when(org, F.col("k4")).otherwise("").alias("d"))
+    members = likely.join(now, "p")
+    # levels: which of c and d must be equal; what is left out is blank on the side that seeks
+    level = lambda a, b, seeks: F.struct(F.when(F.lit(a), F.col("c")).alias("c"), F.when(F.lit(b), F.col("d")).alias("d"), seeks.alias("seeks"), F.lit(a and b).alias("all"))
+    no_c, no_d = F.col("c") == "", F.col("d") == ""
+    levels = F.array(level(True, True, F.lit(True)), level(False, True, no_c), level(True, False, no_d), level(False, False, no_c & no_d))
+    by = members.select("block", "x", "y", "is_x", "e", F.inline(levels).alias("c", "d", "seeks", "all"))
+    e = lambda cond: F.when(cond, F.col("e"))
+    x = F.col("is_x")
+    met = by.groupBy("block", "x", "y", "all", "c", "d").agg(
+        F.min(e(x)).alias("x1"), F.max(e(x)).alias("x2"), F.min(e(~x)).alias("y1"), F.max(e(~x)).alias("y2"), F.min(e(x & F.col("seeks"))).alias("xs"), F.min(e(~x & F.col("seeks"))).alias("ys")
+    ).where("x1 IS NOT NULL AND y1 IS NOT NULL")
+    links = F.array(
+        F.struct(F.when(F.col("all") | (F.col("y1") == F.col("y2")), F.col("y1")).alias("a"), F.col("xs").alias("b")),
+        F.struct(F.when(F.col("all") | (F.col("x1") == F.col("x2")), F.col("x1")).alias("a"), F.col("ys").alias("b")),
+    )
+    out = cut(met.select(F.inline(links)).where("a IS NOT NULL AND b IS NOT NULL AND a <> b").distinct())
+    return out
+
+
+def _links(f: DataFrame, slips: DataFrame) -> DataFrame:
+    """Links (a, b) between entities, from the profiles as they are now; slips are their _slip_members."""
+    return cut(_block_links(f).unionByName(_slip_links(f, slips)).distinct())
+
+
+def _merged(f: DataFrame, links: DataFrame) -> DataFrame:
+    """Profiles under the entities that links make of theirs; middle initials gathered by an entity count for all its profiles."""
+    labels = connected_components(links)
+    old = f.drop("moved", "m0").withColumnsRenamed({"e": "e0", "m": "m0"})
+    own = cut(old.join(labels.withColumnsRenamed({"id": "e0", "label": "e"}), "e0", "left").withColumn("e", F.coalesce("e", "e0")))
+    middle = own.where("kind = 'person' AND k3 <> ''").groupBy("e").agg(F.max("k3").alias("m"))
+    new = own.join(middle, "e", "left").withColumn("m", F.coalesce("m", F.lit("")))
+    out = cut(new.withColumn("moved", F.expr("e <> e0 OR m <> m0")).drop("e0"))
+    release(labels, own, links, f)
+    return out
 
 
 def resolve_names(names: DataFrame) -> DataFrame:
     """names (src, name) -> (src, name, entity): spellings of one entity share a number.
 
-    Merge and rematch: every spelling is parsed into a profile (for organisations core word, field, activity and legal
-    form; for persons last name, first name and middle initials) and starts as an entity of its own. A round blocks the
-    profiles on their parts, links what agrees there, and merges linked entities; a merged entity owns all spellings and
-    initials of its members and enters the blocks of the next round with each of them, so that an initial that fitted
-    two entities may now fit one, and initials gathered from one spelling keep another's namesakes apart. Rounds end
-    when no entity merges. Blocks link to their smallest entity or look up the only entity of a key, so a hot block gives
-    as many links as it has members; only words one slip apart are paired, in blocks bounded by the alphabet.
+    Merge and rematch: every spelling is parsed into a profile (for organisations core, field, activity and legal form;
+    for persons last name, first name and middle initials) and distinct profiles start as entities. A round enters all
+    profiles into their blocks under their present entity, links what agrees there, and merges linked entities; a merged
+    entity owns all spellings and initials of its members and enters the blocks of the next round with each of them, so
+    that an initial that fitted two entities may now fit one, and initials gathered from one spelling keep another's
+    namesakes apart. Rounds end when no entity merges, however many they are: each merges at least two.
+
+    Words of business and short given names that are known beforehand are fixed lists. What they don't hold is learned
+    from the corpus (see _learn): order of words, short forms, last words left out. Blocks link to their smallest entity
+    or look up the only entity of a key, so a hot block gives as many links as it has entries; only distinct words that
+    are alike without one letter are paired.
 
     Null and blank names and names without letters or digits are left out; equal rows count once. src `assignee` holds
     organisations and persons in one field, any other src `last|first`. Entities of different src aren't linked.
     """
     raw = names.where(F.col("src").isNotNull() & F.col("name").isNotNull()).select("src", "name").distinct()
-    parsed = cut(raw.mapInPandas(_features, FEATURES))
-    # equal profiles are one entity from the start; e is its number
+    parsed = cut(raw.repartition(int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))).mapInPandas(_features, FEATURES))
     keys = ["src", *KEYS]
-    f = cut(parsed.select(*keys, F.xxhash64("src", "kind", "k1", "k2", "k3", "k4").alias("e")).distinct())
-    # every round with links merges at least two entities, so rounds end
-    while not (links := _links(f)).isEmpty():
-        labels = connected_components(links).withColumnRenamed("id", "e")
-        merged = cut(f.join(labels, "e", "left").withColumn("e", F.coalesce("label", "e")).drop("label"))
-        release(f, links, labels)
-        f = merged
-    return parsed.join(f.select(*keys, F.col("e").alias("entity")), keys).select("src", "name", "entity")
+    # p numbers the profiles, e is the entity as it is now, m its middle initials (k3 of persons); numbers are given as the
+    # table is written. Profiles with the same parts are one entity from the start.
+    numbered = cut(parsed.select(*keys).distinct().withColumn("p", F.monotonically_increasing_id()))
+    same = ["src", "kind", "k1", "k2", "k3", "k4"]
+    first = cut(numbered.join(numbered.groupBy(*same).agg(F.min("p").alias("e")), same))
+    links, forms = _learn(first)
+    f = cut(first.join(forms, "p", "left").withColumn("m", F.when(F.col("kind") == "person", F.col("k3")).otherwise("")))
+    release(numbered, first, forms)
+    slips = _slip_members(f)
+    if not links.isEmpty():
+        f = _merged(f, links).drop("moved", "m0")
+    while True:
+        links = _links(f, slips)
+        if links.isEmpty():
+            release(slips, links)
+            return parsed.join(f.select(*keys, F.col("e").alias("entity")), keys).select("src", "name", "entity")
+        f = _merged(f, links)
 
 
 def spelling_pairs(entities: DataFrame) -> DataFrame:

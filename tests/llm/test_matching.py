@@ -1,9 +1,12 @@
 """Places and names."""
 
+import itertools
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.names import parse_organisation, parse_person, resolve_names, slip, spelling_pairs, swapped
+from ledgerloom.llm.names import _NEAR, _slip_members, parse_organisation, parse_person, resolve_names, spelling_pairs, swapped
 from ledgerloom.llm.places import Gazetteer, distance, fold, match_places
 from tests.conftest import rows
 
@@ -58,6 +61,34 @@ def test_distance_and_fold():
     assert fold("Sma{umlaut over (u)}blek  Ø-x") == "smaublek o x" and fold(None) == ""
 
 
+def slip(a: str, b: str) -> bool:
+    """Whether one slip makes b of a: a letter too many or too few, two swapped, or a neighbouring key hit."""
+    if len(a) > len(b):
+        a, b = b, a
+    n = len(a)
+    if len(b) - n > 1 or n < 3:
+        return False
+    i = 0
+    while i < n and a[i] == b[i]:
+        i += 1
+    if len(b) > n:
+        return a[i:] == b[i + 1 :]
+    if i == n:
+        return True
+    if a[i + 1 :] == b[i + 1 :]:
+        return b[i] in _NEAR.get(a[i], ())
+    return i + 1 < n and a[i] == b[i + 1] and a[i + 1] == b[i] and a[i + 2 :] == b[i + 2 :]
+
+
+def test_slips_meet_in_their_blocks(spark):
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("abesd") for _ in range(rng.randint(4, 6))) for _ in range(500)})
+    empty = {k: "" for k in ("k3", "k4")}
+    f = spark.createDataFrame([(i, "org", "s", w) for i, w in enumerate(words)], "p long, kind string, src string, k1 string").withColumns({k: F.lit(v) for k, v in (empty | {"k2": ""}).items()})
+    got = {(r["x"], r["y"]) for r in _slip_members(f).collect()}
+    assert got == {(a, b) for a, b in itertools.combinations(words, 2) if slip(a, b)}
+
+
 def test_parsing():
     assert parse_organisation("KLOMMECKOPTICAL INT'L L.L.C.") == ("org", "klommeck", "optical", "international", "llc")
     assert parse_organisation("Optical International Kl-ommeck, Limted") == ("org", "klommeck", "optical", "international", "ltd")
@@ -97,7 +128,7 @@ def test_rounds_go_on_until_nothing_merges(spark, monkeypatch):
     from ledgerloom.llm import names
     from ledgerloom.session import cut
 
-    def one_link(f):
+    def one_link(f, slips):
         two = f.select("e").distinct().orderBy("e").limit(2).agg(F.min("e").alias("a"), F.max("e").alias("b"))
         return cut(two.where("a < b"))
 
@@ -109,3 +140,59 @@ def test_pairs(spark):
     e = spark.createDataFrame([("s", "b", 1), ("s", "a", 1), ("s", "c", 1), ("t", "a", 1), ("s", "z", 2)], "src string, name string, entity long")
     assert rows(spelling_pairs(e)) == [("s", "a", "b"), ("s", "a", "c"), ("s", "b", "c")]
     assert rows(spelling_pairs(resolve_names(e.select("src", "name").limit(0)))) == []
+
+
+def test_words_outside_the_lists(spark):
+    a = [
+        ["Nordfoss Ceramics Oyj", "NORDFOSS CERAMICS OYJ", "Nordfoss Ceram. Oyj", "Nordfos Ceramics Oyj", "Ceramics Oyj Nordfoss", "Nordfoss Ceramics"],
+        ["Sudfjell Ceramics Oyj", "Sudfjell Ceramics"], ["Nord Ceramics Oyj"], ["Nordfoss Timber Oyj"],
+    ]
+    assert entity_sets(spark, [("assignee", n) for x in a for n in x]) == sorted(sorted(x) for x in a)
+
+
+#: A labelled set none of whose words is in the fixed lists: cores, trades, forms.
+TRADES = ["ceramics", "brewing", "forestry", "shipping", "carpets", "printing", "leather", "mining", "bakery", "cables", "candles", "ropes"]
+FORMS = ["oyj", "kft", "sarl", "aps", "zrt", "dooel"]
+
+
+def made_up_names(seed: int, entities: int):
+    rng = random.Random(seed)
+    part = lambda: rng.choice(["br", "kl", "sm", "tr", "v", "d", "st", "pl", "gr", "m"]) + rng.choice(["a", "e", "i", "o", "u", "ai", "ou"]) + rng.choice(["nd", "lk", "rt", "m", "st", "v", "ss", "nt"])
+    seen, out = set(), []
+    while len(seen) < entities:
+        core, trade, form = part() + part() + rng.choice(["", "en", "or", "ik"]), rng.choice(TRADES), rng.choice(FORMS)
+        if core in seen:
+            continue
+        seen.add(core)
+
+        def spelling():
+            c, t, f = core, trade, form
+            kind = rng.choice(["plain", "upper", "order", "short", "slip", "none", "dots", "short upper"])
+            if "short" in kind:
+                t = t[: rng.randint(3, 5)] + "."
+            if kind == "slip":
+                i = rng.randint(1, len(c) - 2)
+                c = rng.choice([c[:i] + c[i + 1 :], c[:i] + c[i] + c[i:], c[:i] + c[i + 1] + c[i] + c[i + 2 :]])
+            words = [c.title(), t.title(), f.title()]
+            if kind == "order":
+                words = [words[1], words[0], words[2]]
+            if kind == "none":
+                words = words[:2]
+            text = " ".join(words)
+            return text.upper() if "upper" in kind else text.replace(" ", ",  ") if kind == "dots" else text
+
+        out.append(sorted({f"{core.title()} {trade.title()} {form.title()}", *(spelling() for _ in range(rng.randint(1, 7)))}))
+    return out
+
+
+def test_recall_on_a_labelled_set_outside_the_lists(spark):
+    truth = made_up_names(2, 600)
+    owners = {}
+    for i, names in enumerate(truth):
+        for n in names:
+            owners.setdefault(n, set()).add(i)
+    want = {(a, b) for names in truth for a, b in itertools.combinations(names, 2)}
+    got = {(a, b) for x in entity_sets(spark, [("assignee", n) for x in truth for n in x]) for a, b in itertools.combinations(x, 2)}
+    right = {(a, b) for a, b in got if owners[a] & owners[b]}
+    print("pairs", len(want), "recall", len(want & got) / len(want), "precision", len(right) / len(got))
+    assert len(want & got) / len(want) >= 0.9 and len(right) / len(got) >= 0.97
