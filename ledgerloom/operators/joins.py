@@ -12,7 +12,11 @@ from ledgerloom.functions.similarity import name_similarity
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row for each key: the first in a total order the caller gives."""
+    """One row for each key: the first in a total order the caller gives.
+
+    The filter on the row number becomes a group limit before the shuffle: each task sends its first row of a key only,
+    so a hot key costs as many rows as there are tasks.
+    """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 

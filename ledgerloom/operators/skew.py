@@ -76,7 +76,9 @@ def eager_join_aggregate(
         .groupBy(F.col(on).alias("__on"))
         .agg(F.count(F.lit(1)).alias("__r"), *(F.sum(F.coalesce(F.col(c), F.lit(0))).alias(f"__rs_{n}") for n, c in right_sums.items()))
     )
-    joined = l_state.join(r_state, "__on", "left")
+    # a null key is spread by what it is grouped by, as its states, one for each group, would all meet in one task
+    salt = F.when(F.col("__on").isNull(), F.pmod(F.xxhash64(*names), F.lit(HEAVY)).cast("int")).otherwise(-1)
+    joined = l_state.withColumn("__salt", salt).join(r_state.withColumn("__salt", F.lit(-1)), ["__on", "__salt"], "left")
     r = F.coalesce(F.col("__r"), F.lit(0))
     return joined.groupBy(*(F.col(n).alias(c) for c, n in zip(by, names, strict=True))).agg(
         F.sum("__l").alias("left_rows"),

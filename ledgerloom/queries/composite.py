@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from ledgerloom.functions.text import clean_place
 from ledgerloom.operators import entity as E
 from ledgerloom.operators.graph import min_labels
 from ledgerloom.queries.common import table as t
-from ledgerloom.session import cut
+from ledgerloom.session import cut, scratch
 from ledgerloom.streaming.ledger import event_windows, load_new_files, loaded
 
 
@@ -58,9 +56,7 @@ def windows_per_hour(spark: SparkSession, d: str) -> DataFrame:
 
 def incremental_load(spark: SparkSession, d: str) -> DataFrame:
     """Inventor rows loaded from files through the ledger, each key once; a second run adds nothing."""
-    from ledgerloom.session import checkpoint_dir
-
-    home = f"{checkpoint_dir(spark)}/{next(tempfile._get_candidate_names())}"
+    home = scratch(spark)
     rows = t(spark, d, "inventor").where("patent IS NOT NULL AND invseq IS NOT NULL").select("rid", "patent", "invseq", "lastname")
     rows.write.parquet(f"{home}/in")
     for _ in range(2):

@@ -170,14 +170,14 @@ def first_per_group(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "orders").groupBy("o_custkey").agg(A.first_by("o_orderstatus", "o_orderdate", "o_orderkey").alias("first_status"))
 
 
-@query("SELECT n_regionkey, string_agg(n_name, '|' ORDER BY n_nationkey) AS nations FROM nation GROUP BY 1")
+@query("SELECT o_custkey, string_agg(o_orderstatus, '|' ORDER BY o_orderkey) AS states FROM orders GROUP BY 1")
 def concat_agg(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "nation").groupBy("n_regionkey").agg(A.joined("n_name", "n_nationkey").alias("nations"))
+    return t(spark, d, "orders").groupBy("o_custkey").agg(A.joined("o_orderstatus", "o_orderkey").alias("states"))
 
 
-@query("SELECT n_regionkey, string_agg(n_nationkey || ': ' || n_name, chr(10) ORDER BY n_nationkey) AS lines FROM nation GROUP BY 1")
+@query("SELECT s_nationkey, string_agg(s_suppkey || ': ' || s_name, chr(10) ORDER BY s_suppkey) AS lines FROM supplier GROUP BY 1")
 def labelled_lines(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "nation").groupBy("n_regionkey").agg(A.labelled("n_nationkey", "n_name", "n_nationkey").alias("lines"))
+    return t(spark, d, "supplier").groupBy("s_nationkey").agg(A.labelled("s_suppkey", "s_name", "s_suppkey").alias("lines"))
 
 
 @query("""SELECT patent, count(*) AS n, string_agg(invseq || ':' || coalesce(lastname, ''), ';' ORDER BY invseq, rid) AS digest FROM inventor WHERE patent IS NOT NULL AND invseq IS NOT NULL GROUP BY 1""")
@@ -265,26 +265,25 @@ def change_runs(spark: SparkSession, d: str) -> DataFrame:
 
 _OUTLINE = """
 WITH o AS (
-  SELECT r_regionkey * 10000 AS pos, 0 AS indent, r_name AS label FROM region
-  UNION ALL SELECT n_regionkey * 10000 + 100 + n_nationkey * 100, 4, n_name FROM nation
-  UNION ALL SELECT n_regionkey * 10000 + 100 + n_nationkey * 100 + 1 + s_suppkey % 90, 8, min(s_name) FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_regionkey, n_nationkey, s_suppkey % 90)"""
+  SELECT r_regionkey * 1000000000000000 AS pos, r_regionkey AS region, 0 AS indent, r_name AS label FROM region
+  UNION ALL SELECT n_regionkey * 1000000000000000 + (n_nationkey + 1) * 1000000000000, n_regionkey, 4, n_name FROM nation
+  UNION ALL SELECT n_regionkey * 1000000000000000 + (n_nationkey + 1) * 1000000000000 + 1 + s_suppkey, n_regionkey, 8, s_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
 
 
 @query(_OUTLINE + """,
-s AS (SELECT *, sum(CASE WHEN indent = 0 THEN 1 ELSE 0 END) OVER (ORDER BY pos) AS sec FROM o),
-l AS (SELECT *, last_value(CASE WHEN indent = 0 THEN label END IGNORE NULLS) OVER w AS l0, last_value(CASE WHEN indent = 4 THEN label END IGNORE NULLS) OVER w AS l1 FROM s WINDOW w AS (PARTITION BY sec ORDER BY pos ROWS UNBOUNDED PRECEDING))
+l AS (SELECT *, last_value(CASE WHEN indent = 0 THEN label END IGNORE NULLS) OVER w AS l0, last_value(CASE WHEN indent = 4 THEN label END IGNORE NULLS) OVER w AS l1 FROM o WINDOW w AS (PARTITION BY region ORDER BY pos ROWS UNBOUNDED PRECEDING))
 SELECT CAST(pos AS BIGINT) AS pos, CAST(indent // 4 AS INTEGER) AS level, CASE indent WHEN 0 THEN l0 WHEN 4 THEN l0 || '|' || l1 ELSE l0 || '|' || l1 || '|' || label END AS path FROM l""")
 def indent_hierarchy(spark: SparkSession, d: str) -> DataFrame:
+    """Regions, their nations and these' suppliers as an outline, a text for each region."""
     r, n, s = t(spark, d, "region"), t(spark, d, "nation"), t(spark, d, "supplier")
-    at = F.col("n_regionkey") * 10000 + 100 + F.col("n_nationkey") * 100
-    s = s.join(n, s.s_nationkey == n.n_nationkey).groupBy("n_regionkey", "n_nationkey", (F.col("s_suppkey") % 90).alias("k")).agg(F.min("s_name").alias("label"))
+    at = F.col("n_regionkey").cast("long") * 10**15 + (F.col("n_nationkey") + 1).cast("long") * 10**12
     lines = (
-        r.select((F.col("r_regionkey") * 10000).cast("long").alias("pos"), F.col("r_name").alias("text"))
-        .union(n.select(at.cast("long"), F.concat(F.lit("    "), "n_name")))
-        .union(s.select((at + 1 + F.col("k")).cast("long"), F.concat(F.lit("        "), "label")))
+        r.select((F.col("r_regionkey").cast("long") * 10**15).alias("pos"), F.col("r_regionkey").alias("region"), F.col("r_name").alias("text"))
+        .union(n.select(at, "n_regionkey", F.concat(F.lit("    "), "n_name")))
+        .union(s.join(n, s.s_nationkey == n.n_nationkey).select(at + 1 + F.col("s_suppkey"), "n_regionkey", F.concat(F.lit("        "), "s_name")))
     )
     lines = lines.withColumn("indent", W.indent_of(F.col("text"))).withColumn("text", F.trim("text"))
-    return W.hierarchy(lines, "text", "indent", "pos", 3).select("pos", F.col("level").cast("int").alias("level"), F.array_join("path", "|").alias("path"))
+    return W.hierarchy(lines, "text", "indent", "pos", 3, ["region"]).select("pos", F.col("level").cast("int").alias("level"), F.array_join("path", "|").alias("path"))
 
 
 @query("""
@@ -307,9 +306,9 @@ def top_groups_members(spark: SparkSession, d: str) -> DataFrame:
     return T.top_with_members(t(spark, d, "part"), "p_brand", "p_partkey", "p_size", 5)
 
 
-@query("SELECT * FROM nation ORDER BY n_name")
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey")
 def sorted_table(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "nation").orderBy("n_name")
+    return t(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey")
 
 
 # ---- reshape
@@ -395,10 +394,15 @@ def stacked_tables(spark: SparkSession, d: str) -> DataFrame:
     return T.stack([t(spark, d, "patent").select("patent", "gyear", "kind"), t(spark, d, "backfile").select("patent", "gyear")])
 
 
-@query("""SELECT 'gyear' AS "column", 'INTEGER' AS type UNION ALL SELECT 'lat', 'REAL' UNION ALL SELECT 'city', 'VARCHAR'""")
+_TYPE = """SELECT '{0}' AS "column", CASE WHEN coalesce(bool_and(CASE WHEN trim({0}) <> '' THEN regexp_matches(regexp_replace(trim({0}), '^-|,', '', 'g'), '^[0-9]+$') END), false) THEN 'INTEGER'
+  WHEN coalesce(bool_and(CASE WHEN trim({0}) <> '' THEN regexp_matches(regexp_replace(trim({0}), '^-|,', '', 'g'), '^[0-9]*\\.?[0-9]*$') AND regexp_matches(trim({0}), '[0-9]') END), false) THEN 'REAL' ELSE 'VARCHAR' END AS type
+FROM (SELECT CAST(rid AS VARCHAR) AS rid, cit_date::VARCHAR AS cit_date, citation, CAST(CAST(citseq AS DECIMAL(12, 2)) AS VARCHAR) AS amount FROM citation)"""
+
+
+@query(" UNION ALL ".join(_TYPE.format(c) for c in ("rid", "cit_date", "citation", "amount")))
 def infer_types(spark: SparkSession, d: str) -> DataFrame:
-    back, places = t(spark, d, "backfile"), t(spark, d, "placeref")
-    return T.infer_types(back.select(F.col("gyear").cast("string"))).union(T.infer_types(places.select(F.col("lat").cast("string"), "city")))
+    c = t(spark, d, "citation")
+    return T.infer_types(c.select(F.col("rid").cast("string"), F.col("cit_date").cast("string"), "citation", F.col("citseq").cast("decimal(12,2)").cast("string").alias("amount")))
 
 
 # ---- metadata

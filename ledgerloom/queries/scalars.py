@@ -47,10 +47,9 @@ def ascii_names(spark: SparkSession, d: str) -> DataFrame:
 _PLACE = sql_replace("upper(city)", _ACCENT, (r"\b[A-Z]{1,5} ?-{0,2} ?[0-9]+\b|\b[0-9]+ ?-{1,2} ?[A-Z]{1,5}\b|\b[0-9]+[A-Z]{1,5}\b", ""), ("[0-9]", ""), (r"\b[A-Z]+,? +I?OF ", ""), (r"\([^)]*\)", ""), (r"""[.()`''#"&]|-{2,}|/-""", ""), (r" *([,|-]) *", r"\1"), (r"([ ,|-])[ ,|-]+", r"\1"), (r"^[,|-]+|[,|-]+$", ""))
 
 
-@query(f"SELECT loc_id, trim({_PLACE}) AS place FROM loc WHERE city IS NULL OR regexp_matches(city, '^[ -~]*$')")
+@query(f"SELECT loc_id, trim({_PLACE}) AS place FROM loc")
 def place_clean(spark: SparkSession, d: str) -> DataFrame:
-    ascii_rows = t(spark, d, "loc").where(F.col("city").isNull() | F.col("city").rlike("^[ -~]*$"))
-    return ascii_rows.select("loc_id", X.clean_place(F.col("city"), ascii_only=False).alias("place"))
+    return t(spark, d, "loc").select("loc_id", X.clean_place(F.col("city"), ascii_only=False).alias("place"))
 
 
 @query(None)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 import zipfile
@@ -46,10 +47,14 @@ _SHIPPED: set[str] = set()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster in spark.checkpoint.dir; a folder of this machine only where none is named."""
+    """The shared folder named by the cluster in spark.checkpoint.dir. Only a session on one machine may do without: its
+    executors are the driver's process, and get a folder of that machine. Elsewhere a missing setting is an error.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
     return sc.getCheckpointDir()
 
@@ -73,6 +78,15 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the checkpoint folder, deleted when Python ends."""
+    path = f"{checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    if not _TABLES:
+        atexit.register(_delete_all)
+    _TABLES[path] = spark
+    return path
+
+
 _TABLES: dict[str, SparkSession] = {}
 
 

@@ -19,11 +19,10 @@ def load_new_files(spark: SparkSession, source: str, target: str, ledger: str, s
 
     def put(batch: DataFrame, number: int) -> None:
         rows = clean(batch) if clean else batch
-        try:
+        have = rows.limit(0)  # the first batch finds no target
+        if _exists(spark, target):
             have = spark.read.schema(rows.schema).parquet(f"{target}/batch=*")
             have = have.where(~F.col("_metadata.file_path").contains(f"/batch={number}/")).select(*rows.columns)
-        except Exception:  # noqa: BLE001 - the first batch finds no target
-            have = rows.limit(0)
         new = insert_ignore(rows.limit(0), rows.join(have.select(*keys).distinct(), list(keys), "left_anti"), keys, order)
         new.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
@@ -31,6 +30,12 @@ def load_new_files(spark: SparkSession, source: str, target: str, ledger: str, s
     stream.writeStream.foreachBatch(put).option("checkpointLocation", ledger).trigger(availableNow=True).start().awaitTermination()
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    """Whether the folder holds a batch; any failure to look is an error."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/batch=*")
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or [])
+
+
 def loaded(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(f"{target}/batch=*")
 
