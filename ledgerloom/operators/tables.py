@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,6 +89,35 @@ def top_with_members(df: DataFrame, group: str, member: str, weight: str, n: int
     return df.join(F.broadcast(ranked), group).select("rank", group, "total", member, weight)
 
 
+def rename_columns(df: DataFrame, rule: Callable[[str], str]) -> DataFrame:
+    """Columns renamed by a rule of names; two that would get one name are an error."""
+    new = {c: rule(c) for c in df.columns}
+    if len({n.lower() for n in new.values()}) < len(new):
+        raise ValueError("the rule gives two columns the same name")
+    return df.withColumnsRenamed({c: n for c, n in new.items() if c != n})
+
+
+def overwrite_where(df: DataFrame, column: str, mask: Column, value: object) -> DataFrame:
+    """column overwritten by a value where the mask holds; where the mask is null it stays."""
+    return df.withColumn(column, F.when(mask, F.lit(value)).otherwise(F.col(column)))
+
+
+def stack_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Columns computed apart side by side with those of df: all come from the same rows, so nothing is aligned by position."""
+    return df.withColumns(columns)
+
+
+def choose_files(df: DataFrame, name: str, folder: str, without: str = "Current", whole: str = "AllData", part: str = ".data.") -> DataFrame:
+    """Rows of files to load: none whose name has the token `without` between points; in a folder with a file of all data
+    (`whole`) the other data files (`part`) are left out, as they repeat it.
+    """
+    kept = df.where(~F.array_contains(F.split(name, r"\."), without))
+    has = F.bool_or(F.contains(F.col(name), F.lit(whole)))
+    folders = kept.groupBy(F.col(folder).alias("__folder")).agg(has.alias("__whole")).where("__whole").select("__folder")
+    apart = F.contains(F.col(name), F.lit(part)) & ~F.contains(F.col(name), F.lit(whole))
+    return kept.where(~apart).unionByName(kept.where(apart).join(folders, F.col(folder).eqNullSafe(F.col("__folder")), "left_anti"))
+
+
 def replicate(spark: SparkSession, table: str, new: str) -> None:
     """An empty table with the columns of another."""
     spark.table(table).limit(0).write.saveAsTable(new)
@@ -102,6 +131,17 @@ def write_ascii_csv(df: DataFrame, path: str) -> None:
     df.select(*(to_ascii(F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns)).write.mode("overwrite").csv(path, header=True)
 
 
+def append_delimited(df: DataFrame, path: str, sep: str = "\t") -> None:
+    """Rows appended to a set of delimited files with headers."""
+    df.write.mode("append").csv(path, sep=sep, header=True)
+
+
+def write_documents(df: DataFrame, path: str) -> None:
+    """One JSON document a row; attributes that are null, or empty texts, are left out."""
+    filled = [F.nullif(F.col(c), F.lit("")).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes]
+    df.select(*filled).write.mode("append").option("ignoreNullFields", "true").json(path)
+
+
 def write_with_metadata(df: DataFrame, path: str, metadata: dict[str, str]) -> None:
     """A Parquet table with its metadata beside it, as a table of key and value."""
     df.write.mode("overwrite").parquet(f"{path}/data")

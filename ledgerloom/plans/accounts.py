@@ -54,6 +54,27 @@ def place_of(fips: Column, name: Column, level: str) -> Column:
     return F.struct(F.create_map(k, name).alias("names"), F.create_map(k, fips).alias("f"))
 
 
+def investment_place(levels: Column) -> Column:
+    """A map of region (R), country or group (C), part (c) and `other`, of the levels of a table's place column.
+
+    levels is an array padded with '' to the depth of the table. Under a first level of others, the group is one level
+    down; a level `Other` is named by the one below it. Canada and the United States are parts of North America. Empty
+    parts are left out.
+    """
+    at = lambda i: F.coalesce(F.get(levels, F.lit(i)), F.lit(""))
+    n, none = F.size(levels), F.lit("")
+    others = F.contains(F.lower(at(0)), F.lit("other")) & (n > 2)
+    skip = F.when(others, (at(2) == "Other") & (n > 3)).otherwise((at(1) == "Other") & (n > 2) & (at(2) != ""))
+    group = F.when(others, at(1)).when(n > 1, at(0)).otherwise(none)
+    part = F.when(others, F.when(skip, at(3)).otherwise(at(2))).when(n > 1, F.when(skip, at(2)).otherwise(at(1))).otherwise(at(0))
+    north = group.isin("Canada", "United States")
+    parts = F.create_map(
+        F.lit("R"), F.when(others, at(0)).otherwise(none), F.lit("C"), F.when(north, "North America").otherwise(group),
+        F.lit("c"), F.when(north, group).otherwise(part), F.lit("other"), F.when(skip, "true").otherwise(none),
+    )
+    return F.map_filter(parts, lambda _, v: v != "")
+
+
 def crosstab(whole: DataFrame, header: str, width: int, depth: int = 4) -> DataFrame:
     """Rows (file, pos, path, group, year, value) of cross-tabs whose columns are `Group - Year` and whose first cell is indented."""
     sectioned = sections(lines(whole), header).withColumn("cells", csv_cells(F.col("line"), width)).withColumn("raw", F.regexp_replace(F.regexp_extract("line", r"^(\"[^\"]*\"|[^,]*)", 1), '"', ""))

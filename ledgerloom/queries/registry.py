@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from ledgerloom.queries import composite, general, relational, scalars
+from ledgerloom.queries import composite, general, relational, scalars, sources
 from ledgerloom.queries.common import Query
 
-MODULES = [general, relational, scalars, composite]
+MODULES = [general, relational, scalars, composite, sources]
 FLAGSHIP = "star_denorm"
 
 

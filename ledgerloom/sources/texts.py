@@ -41,10 +41,11 @@ def delimited(df: DataFrame, line: str, names: Sequence[str], sep: str = "\t") -
 
 
 def csv_cells(line: Column, width: int) -> Column:
-    """Cells of a CSV line as an array of texts; quotes may hold commas."""
+    """Cells of a CSV line as an array of texts; quotes may hold commas. A line is parsed once, however wide it is."""
     names = [f"c{i}" for i in range(width)]
     row = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"quote": '"', "escape": '"'})
-    return F.transform(F.array(*(row[n] for n in names)), lambda x: F.coalesce(F.trim(x), F.lit("")))
+    cells = F.transform(F.array(row), lambda r: F.array(*(r[n] for n in names)))
+    return F.transform(F.get(cells, F.lit(0)), lambda x: F.coalesce(F.trim(x), F.lit("")))
 
 
 def csv_with_dated_header(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
