@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.tokens import RANKS, token_ids
 from ledgerloom.session import cut
 
-#: Output shards are as many as needed for SHARD blocks each, but at most MOST_SHARDS (then shards are larger): what the
-#: driver draws is bounded by MOST_SHARDS times the number of sources.
-SHARD, MOST_SHARDS = 1024, 10_000
+#: Blocks of an output shard; the last may have fewer.
+SHARD = 1024
 
 
 @dataclass
@@ -79,22 +78,37 @@ def plan_mix(blocks: DataFrame, targets: dict[str, tuple[float, int]], block: in
     return Plan(block, seed, targets, {s: (*have[s], taken.get(s, 0)) for s in have})
 
 
-def draw_shards(plan: Plan) -> list[tuple[int, str, int, int]]:
-    """(shard, source, first slot of the source, slots) by multinomial draws, shard after shard, from what is left of each source."""
+def n_shards(plan: Plan) -> int:
+    return -(-sum(taken for _, _, taken in plan.sources.values()) // SHARD)
+
+
+def draw_shards(plan: Plan, lo: int = 0, hi: int | None = None) -> Iterator[tuple[int, str, int, int]]:
+    """(shard, source, first slot of the source, slots) of the shards lo to hi (exclusive; all by default), by multinomial draws.
+
+    The draws form a tree: the blocks of all shards are divided between two halves of the shards by a multinomial draw
+    from what there is of each source, and so on down to single shards. Each node has a seed of its own, so any range of
+    shards is drawn anywhere, alone and alike, in time that goes with its length.
+    """
     names = sorted(s for s, (_, _, taken) in plan.sources.items() if taken)
     left = np.array([plan.sources[s][2] for s in names], dtype=np.int64)
-    first, total = np.zeros(len(names), dtype=np.int64), int(left.sum())
-    rng = np.random.default_rng(plan.seed)
-    size = max(SHARD, -(-total // MOST_SHARDS))
-    out = []
-    for shard in range(-(-total // size)):
-        want, drawn = min(size, int(left.sum())), np.zeros(len(names), dtype=np.int64)
-        while (missing := want - int(drawn.sum())) > 0:
+    hi = n_shards(plan) if hi is None else hi
+
+    def draw(a: int, b: int, left: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, str, int, int]]:
+        if b <= lo or a >= hi:
+            return
+        if b - a == 1:
+            yield from ((a, s, int(f), int(k)) for s, f, k in zip(names, first, left, strict=True) if k)
+            return
+        mid, drawn = (a + b) // 2, np.zeros(len(names), dtype=np.int64)
+        rng = np.random.default_rng([plan.seed, a, b])
+        while (missing := (mid - a) * SHARD - int(drawn.sum())) > 0:
             free = left - drawn
             drawn = np.minimum(left, drawn + rng.multinomial(missing, free / free.sum()))
-        out += [(shard, s, int(f), int(k)) for s, f, k in zip(names, first, drawn, strict=True) if k]
-        first, left = first + drawn, left - drawn
-    return out
+        yield from draw(a, mid, drawn, first)
+        yield from draw(mid, b, left - drawn, first + drawn)
+
+    if names:
+        yield from draw(0, n_shards(plan), left, np.zeros(len(names), dtype=np.int64))
 
 
 def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -125,15 +139,19 @@ def mix(spark: SparkSession, blocks: DataFrame, plan: Plan) -> DataFrame:
     Slots of the shards are mapped through a permutation for each source and use to block numbers and joined to the
     blocks by number. Numbers are uniform, so the join has no hot key however large a source is.
     """
-    drawn = spark.createDataFrame(
-        [(shard, s, f, k, plan.sources[s][0]) for shard, s, f, k in draw_shards(plan)], "shard int, source string, first long, slots long, size long"
-    )
+
+    def drawn_here(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:  # shards of a batch follow one another
+            rows = [(shard, s, f, k, plan.sources[s][0]) for shard, s, f, k in draw_shards(plan, int(b["id"].min()), int(b["id"].max()) + 1)] if len(b) else []
+            yield pd.DataFrame(rows, columns=["shard", "source", "first", "slots", "size"])
+
+    drawn = spark.range(n_shards(plan)).mapInPandas(drawn_here, "shard long, source string, first long, slots long, size long")
 
     @F.pandas_udf("long")
     def number(index: pd.Series, size: pd.Series, key: pd.Series) -> pd.Series:
         return pd.Series(permuted(index.to_numpy(), size.to_numpy(), key.to_numpy()))
 
-    slots = drawn.repartition("shard", "source").select("shard", "source", "size", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("slots") - 1)).alias("slot"))
+    slots = drawn.select("shard", "source", "size", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("slots") - 1)).alias("slot"))
     use = F.floor(F.col("slot") / F.col("size"))
     slots = slots.select("shard", "source", "slot", (use + 1).cast("int").alias("use"), number(F.col("slot") % F.col("size"), F.col("size"), F.xxhash64("source", use, F.lit(plan.seed))).alias("block"))
     order = Window.partitionBy("shard").orderBy(F.xxhash64("source", "slot", F.lit(plan.seed)), "source", "slot")

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerloom.llm.mixing import draw_shards, mix_documents, pack, permuted, plan_mix, shares
+from ledgerloom.llm.mixing import Plan, draw_shards, mix_documents, n_shards, pack, permuted, plan_mix, shares
 from ledgerloom.llm.spans import gear, lowest, shared_share, shared_spans
 from ledgerloom.llm.tokens import RANKS, Encoder, encoder, token_ids, token_text
 from tests.conftest import rows
@@ -128,8 +128,14 @@ def test_shards_draw_each_slot_once(spark):
     ids = spark.createDataFrame([(s, i, list(range(5))) for s in "ab" for i in range(1500)], "source string, doc_id long, ids array<int>")
     blocks = pack(ids, 5, 3, rows_per_bucket=100)
     plan = plan_mix(blocks, {"a": (0.5, 1), "b": (0.5, 1)}, 5, 3)
-    drawn = draw_shards(plan)
+    drawn = list(draw_shards(plan))
     assert sum(k for *_x, k in drawn) == 3000
+    # any range of shards is drawn alike on its own, and shards have the same size but for the last
+    assert [x for i in range(n_shards(plan)) for x in draw_shards(plan, i, i + 1)] == drawn and list(draw_shards(plan, 1, 3)) == [x for x in drawn if x[0] > 0]
+    assert [sum(k for i, *_x, k in drawn if i == j) for j in range(3)] == [1024, 1024, 952]
+    huge = Plan(256, 7, {}, {"a": (10**9, 0, 9 * 10**11), "b": (10**9, 0, 10**11)})
+    some = list(draw_shards(huge, 500_000_000, 500_000_003))
+    assert [sum(k for i, *_x, k in some if i == j) for j in range(500_000_000, 500_000_003)] == [1024] * 3
     seen = {s: [] for s in "ab"}
     for _, s, first, k in drawn:
         seen[s] += range(first, first + k)
