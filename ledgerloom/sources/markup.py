@@ -117,21 +117,21 @@ def tag_paths(documents: DataFrame, deepest: int = 10) -> DataFrame:
     """(path, n): distinct tag paths, down to a depth, of elements that hold letters or digits, with their number."""
 
     def walk(xml: str | None) -> list[str]:
-        out = []
-
-        def go(node: ET.Element, path: str, depth: int) -> None:
-            here = f"{path}/{node.tag}"
-            if re.search(r"\w", "".join(node.itertext())):
-                out.append(here)
-            if depth < deepest:
-                for child in node:
-                    go(child, here, depth + 1)
-
         try:
-            go(ET.fromstring(xml or ""), "", 1)
+            root = ET.fromstring(xml or "")
         except ET.ParseError:
-            pass
-        return out
+            return []
+        nodes = []  # path, depth, whether it holds letters or digits, number of the node above; parents come first
+        stack = [(root, "", 1, -1)]
+        while stack:
+            node, path, depth, above = stack.pop()
+            here, at = f"{path}/{node.tag}" if depth <= deepest else path, len(nodes)
+            nodes.append([here, depth, bool(re.search(r"\w", " ".join([node.text or "", *(c.tail or "" for c in node)]))), above])
+            stack += [(child, here, depth + 1, at) for child in node]
+        for _, _, filled, above in reversed(nodes):
+            if filled and above >= 0:
+                nodes[above][2] = True
+        return [path for path, depth, filled, _ in nodes if filled and depth <= deepest]
 
     paths = F.udf(walk, ArrayType(StringType()), useArrow=True)
     return documents.select(F.explode(paths("xml")).alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
