@@ -321,9 +321,8 @@ def sink_append(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT loc_id, zipcode FROM loc")
 def sink_ascii_csv(spark: SparkSession, d: str) -> DataFrame:
     home = scratch(spark)
-    T.write_ascii_csv(t(spark, d, "loc").select("loc_id", F.coalesce("zipcode", F.lit("\\N")).alias("zipcode")), home)
-    back = spark.read.csv(home, header=True, schema="loc_id long, zipcode string")
-    return back.select("loc_id", F.when(F.col("zipcode") != "\\N", F.col("zipcode")).alias("zipcode"))
+    T.write_ascii_csv(t(spark, d, "loc").select("loc_id", F.concat(F.lit("="), "zipcode").alias("zipcode")), home)
+    return spark.read.csv(home, header=True, schema="loc_id long, zipcode string").select("loc_id", F.substr("zipcode", F.lit(2)).alias("zipcode"))
 
 
 @query("SELECT 'data' AS part, CAST(p_partkey AS VARCHAR) AS k, p_name AS v FROM part UNION ALL SELECT 'metadata', 'rows', CAST(count(*) AS VARCHAR) FROM part UNION ALL SELECT 'metadata', 'title', 'Parts'")
