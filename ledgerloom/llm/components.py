@@ -13,10 +13,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     """One row (id, label) for each id in a or b of edges; label is the smallest id linked with it, directly or not.
 
     Each round, every vertex points at the smallest vertex among itself and its neighbours (a minimum with partial
-    aggregation, so a vertex with a third of all edges is no burden), pointers jump until each points at its root, and
-    edges are rewritten to the roots of their ends, losing loops and repeats. Rounds end when no edge is left, which is
-    when no label changes any more; then each id follows its roots through the rounds. Pointers and edges are
-    checkpointed in each round; the driver sees only counts.
+    aggregation, so a vertex with a third of all edges is no burden), pointers jump on to where the next two
+    pointers lead, and labels and the ends of edges follow them; loops and repeated edges go. A group's smallest id never moves,
+    and what follows one pointer each stays linked, so rounds end with that id alone, when no edge is left and no label
+    changes any more. Pointers, labels and edges are checkpointed in each round; the driver sees only counts.
 
     Null ends are no links, but their other end is an id. Loops and repeated edges are fine; empty input gives no rows.
     Ids need an order (strings by code point).
@@ -40,23 +40,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     raise RuntimeError(f"labels still change after {max_rounds} rounds")
 
 
-def jump(pointers: DataFrame, max_rounds: int = 30) -> DataFrame:
-    """Pointer jumping: pointers (id, root) with root <= id, each made to point at the end of its chain.
-
-    A round makes two jumps, so chain lengths fall to a quarter. Many ids may share one root; such roots are looked up
-    by broadcast.
+def jump(pointers: DataFrame) -> DataFrame:
+    """Pointers (id, root) with root <= id, each made to point two pointers further. Many ids may share one root; such
+    roots are looked up by broadcast.
     """
-    for _ in range(max_rounds):
-        step = pointers.select(F.col("id").alias("root"), F.col("root").alias("next"))
-        twice = lookup_join(pointers, step, "root").select("id", F.col("root").alias("old"), F.coalesce("next", "root").alias("root"))
-        pointers_2 = twice.select(F.col("id").alias("root"), F.col("root").alias("next"))
-        four = twice.join(pointers_2, "root", "left")
-        done = cut(four.select("id", F.coalesce("next", "root").alias("root"), (F.coalesce("next", "root") != F.col("old")).alias("moved")))
-        release(pointers)
-        pointers = done
-        if done.where("moved").isEmpty():
-            return done
-    raise RuntimeError(f"pointers still move after {max_rounds} rounds")
+    step = pointers.select(F.col("id").alias("root"), F.col("root").alias("next"))
+    twice = lookup_join(pointers, step, "root").select("id", F.coalesce("next", "root").alias("root"))
+    out = cut(lookup_join(pointers.select("id", F.col("root").alias("first")), twice.select(F.col("id").alias("first"), F.col("root").alias("next")), "first").select("id", F.coalesce("next", "first").alias("root")))
+    release(pointers)
+    return out
 
 
 def groups(labels: DataFrame) -> DataFrame:
