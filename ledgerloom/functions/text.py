@@ -87,7 +87,7 @@ CITY_RULES: dict[str, list[tuple[str, str]]] = {
     "GB": [(r"COUNTY( OF)?", ""), (r"SHIR+E", "SHIRE")],
     "HK": [(r",?\b(HK|HONG KONG)\b", "")],
     "JP": [(r"\bCITY[ ,]", ""), (r"ALL( OR)?|-?PREF(ECTURE)?", "")],
-    "KR": [(r"-?(MEGA)?CITY", ""), (r"BUKE?|BOOK|BOK", "BUG"), (r"[-,]? *(DO[ME]?|DU|DI)\b", "DO"), (r"\bCHEJU\b", "JEJU")],
+    "KR": [(r"-?(MEGA)?CITY", ""), (r"BUK|BOOK|BUKE|BOK", "BUG"), (r"[-,]? *(DO[ME]?|DU|DI)\b", "DO"), (r"\bCHEJU\b", "JEJU")],
     "LU": [(r"/| ?AN DER ?", ",")],
     "NL": [(r"AM(ER)?STERDA[MN]{0,2}", "AMSTERDAM")],
     "RU": [(r"\bCITY[ ,]", "")],
